@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
 
 # Up to this many rows, proven by a count, one sorted task is the cheapest way to number them.
 ONE_TASK_ROWS = 1_000_000
+SLICE_ROWS = 100_000
+MAX_SLICES = 10_000
 
 
 def running_totals(
@@ -18,34 +22,30 @@ def running_totals(
     values: Sequence[str],
     within: Sequence[str] = (),
     descending: bool = False,
-    slices: int = 256,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Add ``cum_<v>`` (sum up to and including the row) and ``total_<v>`` per column of counts.
+    """Add ``cum_<v>`` (sum up to and including the row) and ``total_<v>`` per value column.
 
-    ``df`` must be unique on (within, order), so aggregate ties first. The order column is cut at its
-    own quantiles into slices of equal row count; sums run inside a slice and the totals of earlier
-    slices, a table of at most ``slices`` rows per group, are added to them. No task sees more than
-    one slice, whatever the distribution of the values.
+    ``df`` must be unique on (within, order), so aggregate ties first. It is written out once, since
+    three steps read it: the order column is cut at its own quantiles into slices of about
+    ``slice_rows`` rows; sums run inside a slice; and the totals of earlier slices, a table of at most
+    ``MAX_SLICES`` rows per group, are added to them. No task sees more than one slice, whatever the
+    distribution of the values.
     """
-    cuts = [i / slices for i in range(1, slices)]
-    # Reading a count here keeps the subquery's input equal to the main one, so Spark shares the
-    # exchange below both instead of aggregating the raw rows a second time.
-    counted = F.when(F.col(values[0]) >= 0, F.col(order))
-    bounds = df.agg(F.approx_percentile(counted, cuts, 20 * slices)).scalar()
-    # Never NULL, so that no not-null test of it is pushed below the caller's aggregation.
-    rank = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(order))), F.lit(0))
-    sliced = df.withColumn("_bounds", bounds).select(*df.columns, (-rank if descending else rank).alias("_slice"))
-
+    stored = materialize(df)
+    sliced = _sliced(stored, order, slice_rows)
+    direction = F.desc if descending else F.asc
     keys = [*within, "_slice"]
-    earlier = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*within).orderBy(direction("_slice")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     whole = Window.partitionBy(*within)
     offsets = sliced.groupBy(*keys).agg(*[F.sum(v).alias(f"_{v}") for v in values]).select(
         *keys,
         *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values],
         *[F.sum(f"_{v}").over(whole).alias(f"total_{v}") for v in values],
     )
-    direction = F.desc(order) if descending else F.asc(order)
-    inside = Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.select("*", *[F.sum(v).over(inside).alias(f"_local_{v}") for v in values])
     return local.join(offsets, keys).select(
         *df.columns,
@@ -54,6 +54,19 @@ def running_totals(
     )
 
 
+def _sliced(df: DataFrame, order: str, slice_rows: int) -> DataFrame:
+    """Add ``_slice``, the number of the quantile range the order column falls into."""
+    slices = min(MAX_SLICES, -(-df.count() // slice_rows))
+    if slices <= 1:
+        return df.withColumn("_slice", F.lit(0.0))
+    cuts = [i / slices for i in range(1, slices)]
+    bounds = df.agg(F.approx_percentile(F.col(order).cast("double"), cuts, 20 * slices)).first()[0]
+    # Bucketizer looks the range up by binary search on the executors.
+    splits = [-math.inf, *sorted({b for b in bounds or () if math.isfinite(b)}), math.inf]
+    bucketizer = Bucketizer(splits=splits, inputCol="_order", outputCol="_slice", handleInvalid="keep")
+    return bucketizer.transform(df.withColumn("_order", F.col(order).cast("double"))).drop("_order")
+
+
 def sorted_codes(df: DataFrame, column: str) -> DataFrame:
     """Dictionary (value, code): the distinct non-null values numbered from 0 in sorted order."""
     values = df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct()
