@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import seeded_hash
 from ..specs import SEED, TEST_FRACTION
 
-MAX_CLASSES = 10_000
+MAX_CLASSES = 1_000
 _BLOCK = 1 << 20  # hash values per counting block; the hash space of 2**32 has 4096 of them
 
 
 def class_counts(df: DataFrame, label: str) -> dict[object, int]:
-    """Rows per class, on the driver. A label with very many values is no class label."""
+    """Rows per class, on the driver. A column with more values than that is no class label."""
     rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
     return {r[0]: r[1] for r in rows}
 
 
-def test_sizes(counts: dict[object, int], fraction: float) -> dict[object, int]:
+def split_sizes(counts: dict[object, int], fraction: float) -> dict[object, int]:
     """Test rows per class: ceil(fraction * n) in total, shared out by largest remainder."""
     n = sum(counts.values())
     n_train = n - math.ceil(round(fraction * n, 9))
@@ -49,24 +50,33 @@ def stratified_split(
     """
     number = seeded_hash(seed, row_id) if order is None else order
     keyed = df.select(F.col(label).alias("_class"), number.alias("_number"), F.col(row_id).alias("_id"))
-    sizes = {c: k for c, k in test_sizes(class_counts(df, label), fraction).items() if k > 0}
-    is_test = F.lit(False)
-    for cut in _cutoffs(keyed, sizes):
-        before = (number < cut["_number"]) | ((number == cut["_number"]) & (F.col(row_id) <= cut["_id"]))
-        is_test = is_test | (F.col(label).eqNullSafe(F.lit(cut["_class"])) & before)
-    return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
+    sizes = {c: k for c, k in split_sizes(class_counts(df, label), fraction).items() if k > 0}
+    is_test = {
+        cut["_class"]: (number < cut["_number"]) | ((number == cut["_number"]) & (F.col(row_id) <= cut["_id"]))
+        for cut in _cutoffs(keyed, sizes)
+    }
+    split = F.when(F.coalesce(per_class(F.col(label), is_test), F.lit(False)), "test").otherwise("train")
+    return df.withColumn("split", split)
 
 
-def _cutoffs(keyed: DataFrame, sizes: dict[object, int]) -> list:
+def per_class(label: Column, values: Mapping[object, Column]) -> Column:
+    """The value given for the row's class, NULL for other classes; the class may be NULL itself."""
+    chosen = None
+    for c, value in values.items():
+        hit = label.eqNullSafe(F.lit(c))
+        chosen = F.when(hit, value) if chosen is None else chosen.when(hit, value)
+    return F.lit(None) if chosen is None else chosen
+
+
+def _cutoffs(keyed: DataFrame, sizes: Mapping[object, int]) -> list:
     """The last test row of each class: (_class, _number, _id), one row per class."""
     if not sizes:
         return []
-    wanted = F.lit(None).cast("long")
-    for c, k in sizes.items():
-        wanted = F.when(F.col("_class").eqNullSafe(F.lit(c)), F.lit(k)).otherwise(wanted)
+    label = F.col("_class")
     block = F.shiftright(F.col("_number"), _BLOCK.bit_length() - 1)
     counted = keyed.groupBy("_class", block.alias("_block")).agg(F.count("*").alias("_n"))
     running = Window.partitionBy("_class").orderBy("_block")
+    wanted = per_class(label, {c: F.lit(k) for c, k in sizes.items()})
     cuts = (
         counted.withColumn("_cum", F.sum("_n").over(running))
         .withColumn("_left", wanted - (F.col("_cum") - F.col("_n")))
@@ -74,14 +84,11 @@ def _cutoffs(keyed: DataFrame, sizes: dict[object, int]) -> list:
         .select("_class", "_block", "_left")
         .collect()
     )
-    in_cut, left = F.lit(False), F.lit(None).cast("long")
-    for r in cuts:
-        here = F.col("_class").eqNullSafe(F.lit(r["_class"])) & (block == r["_block"])
-        in_cut = in_cut | here
-        left = F.when(here, F.lit(r["_left"])).otherwise(left)
+    cut_block = per_class(label, {r["_class"]: F.lit(r["_block"]) for r in cuts})
+    left = per_class(label, {r["_class"]: F.lit(r["_left"]) for r in cuts})
     ranked = Window.partitionBy("_class").orderBy("_number", "_id")
     return (
-        keyed.where(in_cut)
+        keyed.where(block == cut_block)
         .withColumn("_rank", F.row_number().over(ranked))
         .where(F.col("_rank") == left)
         .collect()

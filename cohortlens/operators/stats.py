@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from .ranking import running_totals
-from .sampling import class_counts
+from .sampling import class_counts, per_class
 
 # Rows times columns up to which the built-in exact median, which keeps every distinct value in
 # one buffer, is used.
@@ -81,7 +81,4 @@ def class_weights(df: DataFrame, label: str) -> dict[object, float]:
 
 
 def with_weights(df: DataFrame, label: str, weights: dict[object, float], name: str = "weight") -> DataFrame:
-    value = F.lit(None).cast("double")
-    for c, w in weights.items():
-        value = F.when(F.col(label).eqNullSafe(F.lit(c)), F.lit(w)).otherwise(value)
-    return df.withColumn(name, value)
+    return df.withColumn(name, per_class(F.col(label), {c: F.lit(w) for c, w in weights.items()}))

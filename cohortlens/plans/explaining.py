@@ -15,6 +15,8 @@ from ..sources import write_ranked, write_table
 from ..specs import BEESWARM_FEATURES, EXPLAIN_ROWS, TOP_FEATURES
 from .training import prepare
 
+ROWS_PER_TASK = 50
+
 
 @dataclass(frozen=True)
 class Explanation:
@@ -31,7 +33,8 @@ def explain_pipeline(
     """Explain a reproducible sample of ``rows`` rows, or the whole dataset with ``rows=None``."""
     frame, _, _ = prepare(dataset)
     if rows is not None:
-        frame = fixed_sample(frame, rows, row_id)
+        # A limited sample is one partition; attribution is heavy enough to spread even that.
+        frame = fixed_sample(frame, rows, row_id).repartition(-(-rows // ROWS_PER_TASK), row_id)
     names = feature_names(pipeline.stages)
     vectors = materialize(transform_features(pipeline, frame).select(row_id, "features"))
     explained = materialize(explain(vectors, pipeline.stages[-1], row_id))

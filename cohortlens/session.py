@@ -21,10 +21,18 @@ SETTINGS = {
 }
 
 
+# On a cluster shuffles start with this many partitions per core, and AQE merges the small ones.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+WAVES = 4
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on (timestamps without zone read as UTC)."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        spark.conf.set(INITIAL_PARTITIONS, str(WAVES * sc.defaultParallelism))
     return spark
 
 
