@@ -17,13 +17,14 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import NULL_CLASS
-from ..session import shared_dir
-from .ranking import sorted_codes
-from .stats import medians, modes, moments
+from ..session import materialize, shared_dir
+from .ranking import number_sorted, sorted_codes
+from .stats import category_counts, medians, moments, most_frequent
 
 UNKNOWN_CODE = -1
-# Dictionaries up to this size become part of the projection; larger ones are joined.
-INLINE_VALUES = 1_000
+# Dictionaries up to this size become part of the projection, where a lookup scans them; larger ones
+# are stored and joined, and their file size decides whether Spark broadcasts them.
+INLINE_VALUES = 100
 PREFIX = "f_"
 
 
@@ -49,7 +50,7 @@ def ordinal_encode(
     """
     known = inline_dictionary(codes, inline_values)
     if known is None:
-        return _looked_up(df, codes, column, output)
+        return _looked_up(df, materialize(codes), column, output)
     # array_position counts from 1 and is 0 for an unknown value, which makes that -1.
     found = F.array_position(F.array(*[F.lit(v) for v in known]).cast("array<string>"), F.col(column))
     return df.withColumn(output, F.coalesce(found + UNKNOWN_CODE, F.lit(UNKNOWN_CODE)).cast("int"))
@@ -104,7 +105,8 @@ def fit_features(
     """
     centres = {c: m for c, m in medians(train, numeric).items() if m is not None}
     scales = moments(train, centres)
-    fills = {c: m for c, m in modes(train, categorical).items() if m is not None}
+    counts = materialize(category_counts(train, categorical)) if categorical else None
+    fills = most_frequent(counts) if categorical else {}
 
     projected = {
         c: f"(coalesce(cast({_name(c)} AS double), {_number(centres[c])}) - {_number(scales[c][0])})"
@@ -114,7 +116,7 @@ def fit_features(
     }
     joined = []
     for c in (c for c in categorical if c in fills):
-        codes = sorted_codes(train.select(F.col(c).cast("string").alias(c)), c)
+        codes = number_sorted(counts.where(F.col("column") == c).select("value"))
         known = inline_dictionary(codes, inline_values)
         if known is not None:
             values = ", ".join(_text(v) for v in known)

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..session import materialize
 from ..specs import SEED
 from .encode import FittedFeatures, fit_features
 from .metrics import evaluate
@@ -94,8 +95,8 @@ def train_and_evaluate(
 ) -> TrainedModels:
     """Fit features and models on ``train`` and measure them on ``test``.
 
-    The assembled training vectors are kept on executors for all fits; scored test rows keep only
-    what the metrics read.
+    The assembled training vectors are kept on executors for all fits. Scored test rows keep only
+    what the metrics read and are stored, so no metric scores them again.
     """
     labelled = train.withColumn("label", F.col(label).cast("int"))
     features = fit_features(labelled, numeric, categorical)
@@ -116,7 +117,7 @@ def train_and_evaluate(
         model = estimator.fit(vectors)
         trained.pipelines[name] = as_pipeline(features, model)
         scored = score(model, test_vectors).select(row_id, "label", "prediction", "score")
-        trained.scored[name] = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        trained.scored[name] = materialize(scored)
         row = evaluate(trained.scored[name], name).withColumn("place", F.lit(place))
         trained.performance = row if trained.performance is None else trained.performance.unionByName(row)
     vectors.unpersist()

@@ -70,6 +70,11 @@ def _sliced(df: DataFrame, order: str, slice_rows: int) -> DataFrame:
 def sorted_codes(df: DataFrame, column: str) -> DataFrame:
     """Dictionary (value, code): the distinct non-null values numbered from 0 in sorted order."""
     values = df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct()
+    return number_sorted(materialize(values))
+
+
+def number_sorted(values: DataFrame) -> DataFrame:
+    """(value, code) for distinct values."""
     if values.count() <= ONE_TASK_ROWS:
         return values.select("value", (F.row_number().over(Window.orderBy("value")) - 1).alias("code"))
     return _number_by_range(values)

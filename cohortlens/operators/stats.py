@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from .ranking import running_totals
+from .ranking import SLICE_ROWS, running_totals
 from .sampling import class_counts, per_class
 
 # Rows times columns up to which the built-in exact median, which keeps every distinct value in
@@ -25,14 +25,14 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     return {c: found.get(c) for c in columns}
 
 
-def distributed_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def distributed_medians(df: DataFrame, columns: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(column, median) found by running counts over the distinct values of each column."""
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     counted = (
         doubles.unpivot([], list(columns), "column", "value").where("value IS NOT NULL")
         .groupBy("column", "value").agg(F.count("*").alias("n"))
     )
-    ranks = running_totals(counted, "value", ["n"], within=["column"])
+    ranks = running_totals(counted, "value", ["n"], within=["column"], slice_rows=slice_rows)
     # Ranks (from 1) of the one or two middle values.
     low = F.floor((F.col("total_n") + 1) / 2)
     high = F.floor(F.col("total_n") / 2) + 1
@@ -47,17 +47,24 @@ def distributed_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """Most frequent value per text column, the smallest among equals."""
-    if not columns:
-        return {}
-    counted = (
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, n) for all text columns in one pass; missing values are left out."""
+    return (
         df.select(*[F.col(c).cast("string").alias(c) for c in columns])
         .unpivot([], list(columns), "column", "value").where("value IS NOT NULL")
         .groupBy("column", "value").agg(F.count("*").alias("n"))
     )
-    best = counted.groupBy("column").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))
-    found = {r["column"]: r["mode"] for r in best.collect()}
+
+
+def most_frequent(counts: DataFrame) -> dict[str, str]:
+    """Most frequent value per column of ``category_counts``, the smallest among equals."""
+    best = counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))
+    return {r["column"]: r["mode"] for r in best.collect()}
+
+
+def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
+    """Most frequent value per text column, None for a column without values."""
+    found = most_frequent(category_counts(df, columns)) if columns else {}
     return {c: found.get(c) for c in columns}
 
 

@@ -36,7 +36,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str, cores: str = "*", partitions: int = 8, memory: str = "16g") -> SparkSession:
+def local_session(
+    app: str, cores: str = "*", partitions: int = 8, memory: str = "16g", checkpoint_dir: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -47,6 +49,8 @@ def local_session(app: str, cores: str = "*", partitions: int = 8, memory: str =
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if checkpoint_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()

@@ -52,11 +52,10 @@ def test_constant_column_is_divided_by_one(spark):
 
 
 @pytest.mark.parametrize("slice_rows", [3, 1_000_000])
-def test_distributed_median(spark, monkeypatch, slice_rows):
-    monkeypatch.setattr(ranking.running_totals, "__defaults__", ((), False, slice_rows))
+def test_distributed_median(spark, slice_rows):
     data = [(float(i * 37 % 101), float(i % 2) if i % 3 else None, float(i) if i < 5 else None) for i in range(200)]
     df = spark.createDataFrame(data, "a double, b double, c double").withColumn("d", F.lit(None).cast("double"))
-    found = {r["column"]: r["median"] for r in distributed_medians(df, ["a", "b", "c", "d"]).collect()}
+    found = {r["column"]: r["median"] for r in distributed_medians(df, ["a", "b", "c", "d"], slice_rows).collect()}
     columns = zip("abc", zip(*data))
     assert found == {n: statistics.median(v for v in col if v is not None) for n, col in columns}
 
