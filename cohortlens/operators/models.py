@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..session import materialize
+from ..session import materialize, spread
 from ..specs import SEED
 from .encode import FittedFeatures, fit_features
 from .metrics import evaluate
@@ -28,6 +28,9 @@ BOOSTING_DEPTH = 4
 LEARNING_RATE = 0.05
 ROUND_SAMPLE = 0.8
 
+# Statistics held per pass over the data; more memory means fewer passes for a deep forest.
+NODE_MEMORY_MB = 1024
+
 WEIGHT = "weight"
 
 
@@ -44,7 +47,7 @@ def random_forest(trees: int = FOREST_TREES, depth: int = FOREST_DEPTH) -> Rando
     """Class-balanced forest."""
     return RandomForestClassifier(
         numTrees=trees, maxDepth=depth, minInstancesPerNode=FOREST_LEAF_ROWS, featureSubsetStrategy="sqrt",
-        weightCol=WEIGHT, seed=SEED, labelCol="label", featuresCol="features",
+        weightCol=WEIGHT, seed=SEED, labelCol="label", featuresCol="features", maxMemoryInMB=NODE_MEMORY_MB,
     )
 
 
@@ -102,11 +105,8 @@ def train_and_evaluate(
     features = fit_features(labelled, numeric, categorical)
     weights = class_weights(labelled, "label")
     assembled = PipelineModel(stages=features.stages)
-    vectors = (
-        with_weights(assembled.transform(labelled), "label", weights, WEIGHT)
-        .select("features", "label", WEIGHT)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    weighted = with_weights(assembled.transform(labelled), "label", weights, WEIGHT)
+    vectors = spread(weighted.select("features", "label", WEIGHT)).persist(StorageLevel.MEMORY_AND_DISK)
     if estimators is None:
         estimators = default_estimators(vectors.agg(F.sum(WEIGHT)).first()[0])
     test_vectors = assembled.transform(test.withColumn("label", F.col(label).cast("int"))).select(

@@ -13,11 +13,12 @@ quadrature with ceil(m / 2) nodes gives it without error, for all rows of a batc
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassificationModel, GBTClassificationModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
@@ -34,15 +35,13 @@ LEAF_SCHEMA = (
 CELLS = 200_000
 
 
-@dataclass(frozen=True)
-class LeafGroup:
-    """Leaves whose paths test the same number of distinct features."""
+# Leaves whose paths test the same number m of distinct features: values (leaves,), then features,
+# low, high and share (leaves, m). A condition is low < x <= high. Plain arrays, so that executors
+# need nothing but numpy to read them.
+LeafGroup = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
-    value: np.ndarray  # (leaves,)
-    features: np.ndarray  # (leaves, m)
-    low: np.ndarray  # a condition is low < x <= high
-    high: np.ndarray
-    share: np.ndarray
+# The functions below travel to executors by value; the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def node_table(spark: SparkSession, model: Model) -> DataFrame:
@@ -108,28 +107,27 @@ def group_leaves(leaves: pd.DataFrame) -> list[LeafGroup]:
     for _, part in leaves.groupby(leaves["features"].map(len)):
         low, high, share = (np.array(part[c].tolist(), dtype=float) for c in ("low", "high", "share"))
         features = np.array(part["features"].tolist(), dtype=int)
-        groups.append(LeafGroup(part["value"].to_numpy(float), features, low, high, share))
+        groups.append((part["value"].to_numpy(float), features, low, high, share))
     return groups
 
 
 def base_value(groups: list[LeafGroup]) -> float:
     """The ensemble's expected output: leaf values weighted by the training share reaching them."""
-    return float(sum((g.value * g.share.prod(axis=1)).sum() for g in groups))
+    return float(sum((value * share.prod(axis=1)).sum() for value, _, _, _, share in groups))
 
 
 def contributions(groups: list[LeafGroup], x: np.ndarray) -> np.ndarray:
     """Shapley values (rows, features) of the rows ``x``."""
     phi = np.zeros_like(x)
-    for g in groups:
-        m = g.features.shape[1]
+    step = max(1, CELLS // max(1, len(x)))
+    for group in groups:
+        m = group[1].shape[1]
         if m == 0:
             continue
         nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
         nodes, weights = (nodes + 1) / 2, weights / 2
-        step = max(1, CELLS // max(1, len(x)))
-        for at in range(0, len(g.value), step):
-            part = slice(at, at + step)
-            _add_leaves(phi, x, g.value[part], g.features[part], g.low[part], g.high[part], g.share[part], nodes, weights)
+        for at in range(0, len(group[0]), step):
+            _add_leaves(phi, x, *(a[at : at + step] for a in group), nodes, weights)
     return phi
 
 

@@ -84,3 +84,9 @@ def materialize(df: DataFrame) -> DataFrame:
     path = shared_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute rows that sit in fewer partitions than there are cores, before heavy work on them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
