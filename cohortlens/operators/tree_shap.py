@@ -33,6 +33,8 @@ LEAF_SCHEMA = (
 )
 # Rows times leaves handled in one numpy step; keeps a step's arrays within a few tens of MB.
 CELLS = 200_000
+# From so many rows on, looping over leaves costs less than the arithmetic it saves.
+MANY_ROWS = 256
 
 
 # Leaves whose paths test the same number m of distinct features: values (leaves,), then features,
@@ -117,36 +119,60 @@ def base_value(groups: list[LeafGroup]) -> float:
 
 
 def contributions(groups: list[LeafGroup], x: np.ndarray) -> np.ndarray:
-    """Shapley values (rows, features) of the rows ``x``."""
-    phi = np.zeros_like(x)
-    step = max(1, CELLS // max(1, len(x)))
-    for group in groups:
-        m = group[1].shape[1]
-        if m == 0:
-            continue
-        nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
-        nodes, weights = (nodes + 1) / 2, weights / 2
-        for at in range(0, len(group[0]), step):
-            _add_leaves(phi, x, *(a[at : at + step] for a in group), nodes, weights)
-    return phi
+    """Shapley values (rows, features) of the rows ``x``.
 
-
-def _add_leaves(phi, x, value, features, low, high, share, nodes, weights) -> None:
+    A leaf's contributions depend on a row only through which of its m features meet their
+    conditions. Where there are more rows than the 2^m patterns, they are computed per pattern and
+    looked up per row, else per row.
+    """
     rows, width = x.shape
-    leaves, m = features.shape
-    met = [(x[:, features[:, j]] > low[:, j]) & (x[:, features[:, j]] <= high[:, j]) for j in range(m)]
-    inner = [np.zeros((rows, leaves)) for _ in range(m)]
-    for t, w in zip(nodes, weights):
-        known, unknown = t + (1 - t) * share, (1 - t) * share
-        factors = [np.where(met[j], known[:, j], unknown[:, j]) for j in range(m)]
-        product = w * np.prod(factors, axis=0)
+    columns = np.ascontiguousarray(x.T)
+    phi = np.zeros((width, rows))
+    for group in groups:
+        m = group[1].shape[1]
+        by_pattern = m < 31 and max(MANY_ROWS, 1 << m) < rows
+        step = max(1, CELLS // max(1, rows))
+        for at in range(0, len(group[0]) if m else 0, step):
+            value, features, low, high, share = (a[at : at + step] for a in group)
+            met = [
+                (columns[features[:, j]] > low[:, j, None]) & (columns[features[:, j]] <= high[:, j, None])
+                for j in range(m)
+            ]
+            if by_pattern:
+                patterns = np.arange(1 << m)
+                terms = _terms([((patterns >> j) & 1)[None, :] for j in range(m)], value, share)
+                seen = sum(met[j].astype(np.int64) << j for j in range(m))
+                for leaf in range(len(value)):
+                    for j in range(m):
+                        phi[features[leaf, j]] += terms[j][leaf].take(seen[leaf])
+            else:
+                terms = _terms(met, value, share)
+                for j in range(m):
+                    one_hot = np.zeros((width, len(value)))
+                    one_hot[features[:, j], np.arange(len(value))] = 1.0
+                    phi += one_hot @ terms[j]
+    return phi.T
+
+
+def _terms(met: list[np.ndarray], value: np.ndarray, share: np.ndarray) -> list[np.ndarray]:
+    """Contribution of each leaf (axis 0) to its j-th feature, for the states along axis 1.
+
+    The product over the other features is the whole product over j's own factor, which is
+    t + (1 - t) * z for a met condition and (1 - t) * z for an unmet one; in the second case the
+    quotient (0 - z) / ((1 - t) * z) is -1 / (1 - t) for every feature.
+    """
+    m = share.shape[1]
+    nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+    unmet, gained = 0.0, [0.0] * m
+    for t, w in zip((nodes + 1) / 2, weights / 2):
+        product = (w * value)[:, None]
+        for j in range(m):
+            product = product * ((1 - t) * share[:, j, None] + t * met[j])
+        unmet = unmet - product / (1 - t)
         for j in range(m):
-            inner[j] += product / factors[j]
-    for j in range(m):
-        parts = inner[j] * (met[j] - share[:, j]) * value
-        one_hot = np.zeros((leaves, width))
-        one_hot[np.arange(leaves), features[:, j]] = 1.0
-        phi += parts @ one_hot
+            slope = (1 - share[:, j]) / (t + (1 - t) * share[:, j]) + 1 / (1 - t)
+            gained[j] = gained[j] + product * slope[:, None]
+    return [unmet + met[j] * gained[j] for j in range(m)]
 
 
 def tree_contributions(

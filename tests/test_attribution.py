@@ -12,7 +12,7 @@ from cohortlens.operators.attribution import (
     attribution_long, beeswarm, explain, importance, linear_contributions, sampled_contributions,
 )
 from cohortlens.operators.stats import class_weights, with_weights
-from cohortlens.operators.tree_shap import node_table, tree_contributions
+from cohortlens.operators.tree_shap import contributions, node_table, tree_contributions
 
 WIDTH = 5
 
@@ -131,3 +131,17 @@ def test_summaries(spark):
     long = {(r["id"], r["feature"]): (r["phi"], r["value"]) for r in attribution_long(df, ["a", "b", "c"], ["id"]).collect()}
     assert len(long) == 6 and long[(1, "b")] == (-4.0, 2.0)
     assert {r["feature"] for r in beeswarm(df, ["a", "b", "c"], "id", 2).collect()} == {"a", "b"}
+
+
+def test_large_batches_give_the_same_values_as_small_ones():
+    """Looking contributions up by pattern equals computing them per row."""
+    rng = np.random.default_rng(3)
+    groups = []
+    for m in (1, 4, 7):
+        features = np.stack([rng.permutation(9)[:m] for _ in range(30)])
+        low = np.where(rng.random((30, m)) < 0.5, -np.inf, rng.normal(size=(30, m)) - 1)
+        high = np.where(rng.random((30, m)) < 0.5, np.inf, low + 2)
+        groups.append((rng.normal(size=30), features, low, high, rng.random((30, m))))
+    x = rng.normal(size=(1500, 9))
+    small = np.vstack([contributions(groups, x[i : i + 100]) for i in range(0, 1500, 100)])
+    assert contributions(groups, x) == pytest.approx(small, abs=1e-12)
