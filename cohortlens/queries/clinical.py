@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.quality import class_distribution, flag_totals, missing_counts, null_report, rate_by
 from ..plans.dataset import build_dataset, diagnosis_flags, labs_first_day, vitals_first_day
 from ..operators.cohort import icu_cohort
-from ..sources import load_tables
 from ..specs import (
     ADULT_YEARS, AGE_CAP, DATASET_COLUMNS, DIAGNOSES, FAHRENHEIT_ITEMS, LABS, MISSING_CHECKED, OUTCOME,
     STAY_COLUMNS, SUB_LABELS, TARGET, VITALS, WINDOW_HOURS,
 )
 from . import sql
+from .tables import table
 
 _VITAL_ITEMS = [c for m in VITALS for c in m.codes]
 _LAB_ITEMS = [c for m in LABS for c in m.codes]
@@ -63,8 +63,8 @@ JOIN (VALUES {_numbered(_LAB_ITEMS)}) items(place, itemid) ON l_partkey % {len(_
 
 
 def clinical_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    for name, table in load_tables(spark, d, ("customer", "orders", "lineitem", "part")).items():
-        table.createOrReplaceTempView(name)
+    for name in ("customer", "orders", "lineitem", "part"):
+        table(spark, d, name).createOrReplaceTempView(name)
     return {name: spark.sql(text) for name, text in DERIVED.items()}
 
 

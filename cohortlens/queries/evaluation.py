@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import half_up
 from ..operators.metrics import class_metrics, class_report, confusion, evaluate, roc_auc, roc_curve
 from ..operators.models import all_scores, best_model
-from ..sources import read_table
 from . import sql
+from .tables import table
 
 LONG_TEXT = 2000
 
 
 def scored_documents(spark: SparkSession, d: str) -> DataFrame:
     """Labelled documents scored by length."""
-    documents = read_table(spark, d, "documents").select("doc_id", "n_chars")
-    return read_table(spark, d, "labels").join(documents, "doc_id").select(
+    documents = table(spark, d, "documents").select("doc_id", "n_chars")
+    return table(spark, d, "labels").join(documents, "doc_id").select(
         "doc_id", F.col("toxic").alias("label"), F.col("n_chars").cast("double").alias("score"),
         (F.col("n_chars") > LONG_TEXT).cast("int").alias("prediction"),
     )
@@ -28,7 +28,7 @@ SCORED = f"""SELECT doc_id, toxic AS label, CAST(n_chars AS double) AS score,
 
 def scored_lines(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Line items as rows of two models: is the line returned, by price and by quantity."""
-    lines = read_table(spark, d, "lineitem")
+    lines = table(spark, d, "lineitem")
     label = (F.col("l_returnflag") == "R").cast("int").alias("label")
     by_price = lines.select(label, F.col("l_extendedprice").alias("score"), (F.col("l_extendedprice") > 50000).cast("int").alias("prediction"))
     by_quantity = lines.select(label, F.col("l_quantity").alias("score"), (F.col("l_quantity") > 30).cast("int").alias("prediction"))
@@ -107,10 +107,10 @@ def auc_sql(rows: str, by: str = "") -> str:
     keys = f"{by}, " if by else ""
     group = f"PARTITION BY {by} " if by else ""
     tail = f" GROUP BY {by}" if by else ""
-    return f"""SELECT {keys}{sql.rounded('(sum(CASE WHEN label = 1 THEN r END) - max(p) * (max(p) + 1) / 2.0) / (max(p) * max(n))', 9)} AS roc_auc
-FROM (SELECT {keys}label, rank() OVER ({group}ORDER BY score) + (count(*) OVER ({group or ''}{', ' if group else 'PARTITION BY '}score) - 1) / 2.0 AS r,
-  CAST(count(*) FILTER (WHERE label = 1) OVER ({group}) AS double) AS p, CAST(count(*) FILTER (WHERE label = 0) OVER ({group}) AS double) AS n
-  FROM ({rows})){tail}"""
+    area = "(sum(pos * r) - sum(pos) * (sum(pos) + 1) / 2.0) / (CAST(sum(pos) AS double) * sum(k - pos))"
+    return f"""SELECT {keys}{sql.rounded(area, 9)} AS roc_auc
+FROM (SELECT {keys}pos, k, sum(k) OVER ({group}ORDER BY score) - (k - 1) / 2.0 AS r
+  FROM (SELECT {keys}score, count(*) AS k, count(*) FILTER (WHERE label = 1) AS pos FROM ({rows}) GROUP BY {keys}score)){tail}"""
 
 
 def curve_sql(rows: str, by: str = "") -> str:

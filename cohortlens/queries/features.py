@@ -11,16 +11,16 @@ from ..operators.encode import feature_names, fit_features, label_encode, ordina
 from ..operators.ranking import sorted_codes
 from ..operators.sampling import fixed_sample, stratified_split
 from ..operators.stats import class_weights, distributed_medians, medians, modes, moments, with_weights
-from ..sources import read_table
 from . import sql
 from .relational import LABELLED, labelled_documents
+from .tables import table
 
 SAMPLE_ROWS = 1000
 
 
 def gappy_customers(spark: SparkSession, d: str) -> DataFrame:
     segment = F.when(F.col("c_custkey") % 11 != 0, F.col("c_mktsegment"))
-    return read_table(spark, d, "customer").select("c_custkey", segment.alias("segment"))
+    return table(spark, d, "customer").select("c_custkey", segment.alias("segment"))
 
 
 def q14_label_encode(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +70,7 @@ _LINE_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 def q15b_distributed_median(spark: SparkSession, d: str) -> DataFrame:
-    found = distributed_medians(read_table(spark, d, "lineitem"), _LINE_NUMBERS)
+    found = distributed_medians(table(spark, d, "lineitem"), _LINE_NUMBERS)
     return found.select("column", half_up(F.col("median"), 6).alias("median"))
 
 
@@ -108,7 +108,7 @@ SELECT doc_id, coalesce(lang, (SELECT lang FROM m)) AS lang FROM t"""
 
 
 def q18_strat_split(spark: SparkSession, d: str) -> DataFrame:
-    labels = read_table(spark, d, "labels")
+    labels = table(spark, d, "labels")
     return stratified_split(labels, "toxic", "doc_id", order=F.expr(sql.number("doc_id"))).select(
         "doc_id", "toxic", "split"
     )
@@ -123,7 +123,7 @@ SELECT doc_id, toxic, CASE WHEN place <= n_test THEN 'test' ELSE 'train' END AS
 
 
 def q25_fixed_sample(spark: SparkSession, d: str) -> DataFrame:
-    orders = read_table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return fixed_sample(orders, SAMPLE_ROWS, "o_orderkey", order=F.expr(sql.number("o_orderkey")))
 
 
@@ -132,7 +132,7 @@ ORDER BY {sql.number('o_orderkey')}, o_orderkey LIMIT {SAMPLE_ROWS}"""
 
 
 def q28_class_weights(spark: SparkSession, d: str) -> DataFrame:
-    labels = read_table(spark, d, "labels").select("doc_id", "toxic")
+    labels = table(spark, d, "labels").select("doc_id", "toxic")
     weighted = with_weights(labels, "toxic", class_weights(labels, "toxic"))
     return weighted.withColumn("weight", half_up(F.col("weight"), 9))
 

@@ -21,9 +21,9 @@ from ..operators.sampling import fixed_sample, stratified_split
 from ..operators.stats import class_weights, with_weights
 from ..operators.tree_shap import tree_contributions
 from ..session import materialize
-from ..sources import read_table
 from ..specs import BACKGROUND_ROWS, BEESWARM_FEATURES, TOP_FEATURES
 from . import sql
+from .tables import table
 
 WIDTH = 64
 NAMES = [f"e{j}" for j in range(WIDTH)]
@@ -34,7 +34,7 @@ SAMPLED_WIDTH, PERMUTATIONS = 8, 4
 
 
 def vectors(spark: SparkSession, d: str, width: int = WIDTH) -> DataFrame:
-    raw = read_table(spark, d, "embeddings")
+    raw = table(spark, d, "embeddings")
     array = F.slice(F.col("embedding").cast("array<double>"), 1, width)
     label = (F.col("label") >= POSITIVE_FROM).cast("int")
     return raw.select("vec_id", array_to_vector(array).alias("features"), label.alias("label"))
@@ -98,15 +98,15 @@ def q27_model_table(spark: SparkSession, d: str) -> DataFrame:
     """All three models on one stratified split."""
     split = materialize(stratified_split(vectors(spark, d), "label", "vec_id"))
     train, test = weighted(split.where("split = 'train'")), split.where("split = 'test'")
-    table = None
+    performance = None
     for name, estimator in (
         ("Logistic Regression", models.logistic_regression(total_weight(train))),
         ("Random Forest", models.random_forest(TREES, FOREST_DEPTH)),
         ("Gradient Boosting", models.gradient_boosting(ROUNDS)),
     ):
         row = evaluate(models.score(estimator.fit(train), test), name)
-        table = row if table is None else table.unionByName(row)
-    return table
+        performance = row if performance is None else performance.unionByName(row)
+    return performance
 
 
 def q30_logreg(spark: SparkSession, d: str) -> DataFrame:

@@ -13,9 +13,10 @@ from ..operators.quality import (
 )
 from ..operators.windowed import windowed_averages
 from ..session import shared_dir
-from ..sources import read_csv, read_table, write_csv, write_table
+from ..sources import read_csv, write_csv, write_table
 from ..specs import CodeFlag, Measure
 from . import sql
+from .tables import table
 
 AS_OF = "2001-12-31 12:00:00"
 MIN_YEARS = 3
@@ -43,7 +44,7 @@ LINE_DAYS = 90
 
 
 def q01_cohort(spark: SparkSession, d: str) -> DataFrame:
-    orders, customer, nation = (read_table(spark, d, t) for t in ("orders", "customer", "nation"))
+    orders, customer, nation = (table(spark, d, t) for t in ("orders", "customer", "nation"))
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     return (
         orders.where(F.col("o_orderdate").isNotNull() & F.col("o_totalprice").isNotNull())
@@ -65,7 +66,7 @@ WHERE date_part('year', age(TIMESTAMP '{AS_OF}', o_orderdate)) >= {MIN_YEARS}
 
 
 def q02_first_per_group(spark: SparkSession, d: str) -> DataFrame:
-    orders = read_table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
     return first_per_group(orders, "o_custkey", "o_orderkey")
 
 
@@ -74,7 +75,7 @@ WHERE NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_custkey = a.o_custkey AND b.o
 
 
 def q02b_first_with_ties(spark: SparkSession, d: str) -> DataFrame:
-    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     return first_per_group(lines, "l_orderkey", "l_linenumber")
 
 
@@ -83,8 +84,8 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey = a.l_orderkey AND
 
 
 def q03_code_flags(spark: SparkSession, d: str) -> DataFrame:
-    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
-    parts = read_table(spark, d, "part").select("p_partkey", "p_type")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    parts = table(spark, d, "part").select("p_partkey", "p_type")
     coded = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return code_flags(coded, "l_orderkey", "p_type", PART_FLAGS)
 
@@ -94,7 +95,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey"""
 
 
 def q04_window_pivot(spark: SparkSession, d: str) -> DataFrame:
-    events = read_table(spark, d, "events").select("user_id", "event_type", "ts", "value")
+    events = table(spark, d, "events").select("user_id", "event_type", "ts", "value")
     signups = events.where(F.col("event_type") == "signup").groupBy("user_id").agg(F.min("ts").alias("t0"))
     return windowed_averages(
         events, signups, key="user_id", code="event_type", at="ts", value="value", start="t0",
@@ -114,8 +115,8 @@ SELECT user_id, {sql.averages(EVENT_MEASURES, 'event_type', 'v')} FROM raw GROUP
 
 
 def q05_window_pivot_lines(spark: SparkSession, d: str) -> DataFrame:
-    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
-    orders = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     return windowed_averages(
         lines, orders, key="l_orderkey", code="l_linenumber", at="l_shipdate", value="l_quantity",
         start="o_orderdate", measures=LINE_MEASURES, hours=LINE_DAYS * 24,
@@ -150,8 +151,8 @@ FROM base LEFT JOIN lines ON o_orderkey = lines.l_orderkey LEFT JOIN marks ON o_
 
 def labelled_documents(spark: SparkSession, d: str) -> DataFrame:
     """All documents with their labels where there are any: a wide table with missing values."""
-    documents = read_table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
-    return documents.join(read_table(spark, d, "labels"), "doc_id", "left")
+    documents = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return documents.join(table(spark, d, "labels"), "doc_id", "left")
 
 
 LABELLED = """SELECT doc_id, lang, source, n_chars, quality, toxic
@@ -193,15 +194,15 @@ _COUNTED = ("orders", "lineitem", "events", "documents", "labels")
 
 
 def q10b_row_counts(spark: SparkSession, d: str) -> DataFrame:
-    return row_counts({t: read_table(spark, d, t) for t in _COUNTED})
+    return row_counts({t: table(spark, d, t) for t in _COUNTED})
 
 
 Q10B = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n FROM {t}" for t in _COUNTED)
 
 
 def q11_los(spark: SparkSession, d: str) -> DataFrame:
-    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     # The line number adds a share of a day, since all dates are at midnight.
     shipped = F.col("l_shipdate") + F.col("l_linenumber") * F.expr("INTERVAL '61' MINUTE")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -243,13 +244,13 @@ Q13 = f"""SELECT * FROM (
 
 
 def q26_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    orders, path = read_table(spark, d, "orders"), shared_dir(spark)
+    orders, path = table(spark, d, "orders"), shared_dir(spark)
     write_csv(orders, path)
     return read_csv(spark, path, orders.schema)
 
 
 def q26b_table_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    events, path = read_table(spark, d, "events"), shared_dir(spark)
+    events, path = table(spark, d, "events"), shared_dir(spark)
     write_table(events, path)
     return spark.read.schema(events.schema).parquet(path)
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
-def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A parquet table stored as ``root/name.parquet`` (one file or a directory of parts)."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(f"{root}/{name}.parquet")
