@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import seeded_hash
+from ..session import materialize, spread
 from ..specs import BACKGROUND_ROWS, SEED
 from .models import score
 from .ranking import top_k
@@ -66,19 +67,20 @@ def sampled_contributions(
 
     The sum of a row's values is its score minus the mean score of its background partners.
     """
-    # The background is a bounded sample, so it can travel with the plan as one literal.
-    partners = [r["x"] for r in background.select(vector_to_array(features).alias("x")).limit(BACKGROUND_ROWS).collect()]
-    size = len(partners[0])
+    partners = materialize(_numbered_background(background, row_id, features))
+    count, size = partners.agg(F.count("*"), F.max(F.size("_other"))).first()
     rows = df.select(F.col(row_id), vector_to_array(features).alias("x"))
     walks = (
-        rows.withColumn("_walk", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
+        spread(rows).withColumn("_walk", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
         .withColumn("_order", _feature_order(row_id, size, seed))
-        .withColumn("_other", _partner(partners, row_id, seed))
+        .withColumn("_turn", F.array(*[F.array_position("_order", j) for j in range(size)]))
+        .withColumn("_place", F.pmod(seeded_hash(seed, row_id, "_walk"), F.lit(count)) + 1)
+        # At most BACKGROUND_ROWS rows.
+        .join(F.broadcast(partners), "_place")
     )
-    mixed = (
-        walks.withColumn("_known", F.explode(F.sequence(F.lit(0), F.lit(size))))
-        .withColumn("_switched", F.slice("_order", F.lit(1), F.col("_known")))
-        .withColumn(features, array_to_vector(_mix(size)))
+    # _known features have switched so far; feature j does so at turn _turn[j], counted from 1.
+    mixed = walks.withColumn("_known", F.explode(F.sequence(F.lit(0), F.lit(size)))).withColumn(
+        features, array_to_vector(_mix(size))
     )
     scored = score(model, mixed)
     changes = F.filter(
@@ -105,14 +107,15 @@ def _feature_order(row_id: str, size: int, seed: int) -> Column:
     return F.transform(F.array_sort(F.array(*keys)), lambda s: s["j"])
 
 
-def _partner(partners: list, row_id: str, seed: int) -> Column:
-    table = F.array(*[F.array(*[F.lit(float(v)) for v in p]) for p in partners])
-    return F.get(table, F.pmod(seeded_hash(seed, row_id, "_walk"), F.lit(len(partners))).cast("int"))
+def _numbered_background(background: DataFrame, row_id: str, features: str) -> DataFrame:
+    """Up to BACKGROUND_ROWS vectors with their place from 1."""
+    few = background.select(row_id, vector_to_array(features).alias("_other")).limit(BACKGROUND_ROWS)
+    return few.select(F.row_number().over(Window.orderBy(row_id)).cast("long").alias("_place"), "_other")
 
 
 def _mix(size: int) -> Column:
     return F.array(
-        *[F.when(F.array_contains("_switched", j), F.col("x")[j]).otherwise(F.col("_other")[j]) for j in range(size)]
+        *[F.when(F.col("_turn")[j] <= F.col("_known"), F.col("x")[j]).otherwise(F.col("_other")[j]) for j in range(size)]
     )
 
 

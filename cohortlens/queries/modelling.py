@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import half_up
 from ..operators import models
 from ..operators.attribution import (
-    attribution_long, beeswarm, importance, linear_terms, sampled_contributions,
+    attribution_long, background_means, beeswarm, importance, linear_terms, sampled_contributions,
 )
-from ..operators.attribution import background_means
 from ..operators.metrics import evaluate
 from ..operators.ranking import top_ranked
 from ..operators.sampling import fixed_sample, stratified_split
@@ -30,14 +29,13 @@ NAMES = [f"e{j}" for j in range(WIDTH)]
 # The vectors have ten classes; the upper half is the positive one.
 POSITIVE_FROM = 5
 TREES, FOREST_DEPTH, ROUNDS = 10, 8, 5
-SAMPLED_WIDTH, PERMUTATIONS = 8, 4
+PERMUTATIONS = 2
 
 
-def vectors(spark: SparkSession, d: str, width: int = WIDTH) -> DataFrame:
-    raw = table(spark, d, "embeddings")
-    array = F.slice(F.col("embedding").cast("array<double>"), 1, width)
+def vectors(spark: SparkSession, d: str) -> DataFrame:
     label = (F.col("label") >= POSITIVE_FROM).cast("int")
-    return raw.select("vec_id", array_to_vector(array).alias("features"), label.alias("label"))
+    features = array_to_vector(F.col("embedding").cast("array<double>"))
+    return table(spark, d, "embeddings").select("vec_id", features.alias("features"), label.alias("label"))
 
 
 def weighted(rows: DataFrame) -> DataFrame:
@@ -48,8 +46,8 @@ def total_weight(rows: DataFrame) -> float:
     return rows.agg(F.sum(models.WEIGHT)).first()[0]
 
 
-def fit_logistic(spark: SparkSession, d: str, width: int = WIDTH):
-    rows = weighted(vectors(spark, d, width))
+def fit_logistic(spark: SparkSession, d: str):
+    rows = weighted(vectors(spark, d))
     return models.logistic_regression(total_weight(rows)).fit(rows), rows
 
 
@@ -78,7 +76,7 @@ def _linear(spark: SparkSession, d: str) -> DataFrame:
 
 
 LINEAR = f"""SELECT u.vec_id, u.j, (x - mean) * ((u.j % 7 - 3) * 0.25) AS phi FROM u JOIN m USING (j)"""
-UNNESTED = f"""WITH u AS (SELECT vec_id, unnest(range({WIDTH})) AS j, CAST(unnest(embedding[1:{WIDTH}]) AS double) AS x FROM embeddings),
+UNNESTED = f"""WITH u AS (SELECT vec_id, unnest(range({WIDTH})) AS j, CAST(unnest(embedding) AS double) AS x FROM embeddings),
 b AS (SELECT vec_id FROM embeddings ORDER BY {sql.number('vec_id')}, vec_id LIMIT {BACKGROUND_ROWS}),
 m AS (SELECT j, avg(x) AS mean FROM u JOIN b USING (vec_id) GROUP BY j)"""
 Q23 = f"{UNNESTED} SELECT vec_id, 'e' || j AS feature, {sql.rounded('phi', 7)} AS phi FROM ({LINEAR})"
@@ -162,11 +160,11 @@ ADDS_UP = "SELECT vec_id, CAST(0.0 AS double) AS gap FROM embeddings"
 
 
 def q34_sampled_shap(spark: SparkSession, d: str) -> DataFrame:
-    """Model-agnostic attributions of a model on the first few dimensions."""
-    model, rows = fit_logistic(spark, d, SAMPLED_WIDTH)
+    """Model-agnostic attributions."""
+    model, rows = fit_logistic(spark, d)
     background = fixed_sample(rows, BACKGROUND_ROWS, "vec_id")
     explained = sampled_contributions(rows, model, "vec_id", background, PERMUTATIONS)
-    return attribution_long(explained, NAMES[:SAMPLED_WIDTH], ["vec_id"])
+    return attribution_long(explained, NAMES, ["vec_id"])
 
 
 def q35_attribution_long(spark: SparkSession, d: str) -> DataFrame:
