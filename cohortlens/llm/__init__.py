@@ -6,9 +6,9 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import common, content_sort, piece_merge, simhash_vp
+from . import common, content_sort, piece_merge, rule_cascade, simhash_vp, stock_packing
 
-_MODULES = (piece_merge, content_sort, simhash_vp)
+_MODULES = (piece_merge, rule_cascade, content_sort, stock_packing, simhash_vp)
 
 # Workers get the functions by value: they need not have the package on their path.
 for _module in (common, *_MODULES):

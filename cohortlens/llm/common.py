@@ -6,7 +6,7 @@ import sys
 import types
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..queries.tables import table
 from ..session import materialize
@@ -74,7 +74,7 @@ def running_start(df: DataFrame, value: str, start: str) -> DataFrame:
     import pyarrow as pa
 
     at = df.columns.index(value)
-    schema = df.schema.add("part", "long").add("local_start", "long")
+    schema = T.StructType(list(df.schema)).add("part", "long").add("local_start", "long")
 
     def local(batches):
         import numpy as np
