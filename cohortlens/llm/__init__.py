@@ -6,9 +6,9 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import bucket_refinement, common, content_sort, piece_merge, rule_cascade, simhash_vp, stock_packing
+from . import bucket_refinement, common, content_sort, piece_merge, pitman_yor, rule_cascade, simhash_vp, stock_packing
 
-_MODULES = (piece_merge, rule_cascade, content_sort, stock_packing, simhash_vp, bucket_refinement)
+_MODULES = (piece_merge, rule_cascade, content_sort, stock_packing, pitman_yor, simhash_vp, bucket_refinement)
 
 # Workers get the functions by value: they need not have the package on their path.
 for _module in (common, *_MODULES):
