@@ -6,12 +6,12 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import bucket_refinement, common, content_sort, piece_merge, pitman_yor, rule_cascade, simhash_vp, stock_packing
+from . import bucket_refinement, common, compression_quality, content_sort, learning, piece_merge, pitman_yor, rule_cascade, simhash_vp, stock_packing
 
-_MODULES = (piece_merge, rule_cascade, content_sort, stock_packing, pitman_yor, simhash_vp, bucket_refinement)
+_MODULES = (piece_merge, rule_cascade, compression_quality, content_sort, stock_packing, pitman_yor, simhash_vp, bucket_refinement)
 
 # Workers get the functions by value: they need not have the package on their path.
-for _module in (common, *_MODULES):
+for _module in (common, learning, *_MODULES):
     cloudpickle.register_pickle_by_value(sys.modules[_module.__name__])
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
