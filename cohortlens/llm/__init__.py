@@ -6,9 +6,9 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import bucket_refinement, common, compression_quality, content_sort, learning, piece_merge, pitman_yor, rule_cascade, simhash_vp, stock_packing, toxic_grammar
+from . import bucket_refinement, common, compression_quality, content_sort, feistel_pii, learning, piece_merge, pitman_yor, rule_cascade, simhash_vp, stock_packing, toxic_grammar
 
-_MODULES = (piece_merge, rule_cascade, toxic_grammar, compression_quality, content_sort, stock_packing, pitman_yor, simhash_vp, bucket_refinement)
+_MODULES = (piece_merge, feistel_pii, rule_cascade, toxic_grammar, compression_quality, content_sort, stock_packing, pitman_yor, simhash_vp, bucket_refinement)
 
 # Workers get the functions by value: they need not have the package on their path.
 for _module in (common, learning, *_MODULES):
