@@ -1,7 +1,7 @@
 """Toxicity scores from a weighted finite-state grammar.
 
-Words become symbols: insult, threat, target, negation, reporting verb, boundary, other. Small weighted
-transducers, one for each of negation, reported speech, targets and the weighing of matches, are composed
+Words become symbols: insult, threat, target, negation, reporting verb, boundary, other. Small
+weighted transducers, for negation, for reported speech and for weighing what matches, are composed
 into one machine, which reads a text clause by clause; what counts is a matched clause, say an insult with
 a target that is neither denied nor quoted, not the word alone. Insults are learned: word stems whose
 texts are labelled toxic far more often than others. The other word lists are fixed. A logistic curve
@@ -26,7 +26,7 @@ FOLDS, HELD_OUT = 3, 1
 TRAIN_ROWS = 8000  # labelled texts, about, from which insults and the curve are learned
 STEM_LENGTHS = (3, 8)  # characters of the word beginnings that are tried besides whole words
 MAX_STEMS = 5000
-LEAST_EVIDENCE, LEAST_SHARE, LEAST_TEXTS = 12.0, 0.7, 4
+LEAST_EVIDENCE, LEAST_SHARE, LEAST_TEXTS, LEAST_WORDS = 12.0, 0.7, 4, 3
 HELD_WORDS = 200_000
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, BOUNDARY = "insult", "threat", "target", "negation", "report", "other", "boundary"
 DENIED, QUOTED = "denied", "quoted"
@@ -148,7 +148,10 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     beginnings = F.expr(f"transform(sequence({low}, greatest({low}, least({high}, length(word)))), k -> substring(word, 1, k))")
     whole = F.array(F.concat("word", F.lit("$")))
     stemmed = words.select("toxic", "n", F.explode(F.when(F.length("word") >= low, F.concat(beginnings, whole)).otherwise(whole)).alias("stem"))
-    counts = stemmed.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).where(F.col("toxic") >= LEAST_TEXTS)
+    # The beginning of one word only is not a stem: it would stand for words that nobody has seen.
+    shared = F.col("stem").endswith("$") | ((F.count_if(F.col("toxic") > 0) >= LEAST_WORDS) & (F.max("toxic") <= 0.7 * F.sum("toxic")))
+    counts = stemmed.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"), shared.alias("shared"))
+    counts = counts.where(F.col("shared") & (F.col("toxic") >= LEAST_TEXTS))
     p = (F.col("toxic") + 0.5) / (F.col("n") + 1)
     evidence = F.col("toxic") * F.log(p / share) + (F.col("n") - F.col("toxic")) * F.log((1 - p) / (1 - share))
     best = counts.withColumns({"p": p, "evidence": evidence}).where((F.col("p") >= LEAST_SHARE) & (F.col("evidence") >= LEAST_EVIDENCE))
