@@ -51,6 +51,17 @@ def content_sort(docs: DataFrame) -> DataFrame:
     )
 
 
+def keep_last(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but one only of each group of equal texts: the one with
+    the largest doc_id; of rows that repeat both text and doc_id any one stays."""
+    least = F.lit(-1 << 63)
+    found = content_sort(docs).where("kept").select(F.coalesce("doc_id", least).alias("_id"), F.col("text_sha256").alias("_sha"))
+    body = F.sha2(fold(F.coalesce("text", F.lit(""))).cast("binary"), 256)
+    marked = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), least), "_sha": body})
+    # The join has dealt the rows by these columns already.
+    return marked.join(found, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"]).drop("_id", "_sha")
+
+
 def _neighbours(batches):
     """Compares each text with the one before it; the rows of a run leave together once it has ended."""
     import pyarrow as pa
