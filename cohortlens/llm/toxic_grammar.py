@@ -34,7 +34,7 @@ TOKEN = re.compile(r"\w+|[.!?;\n]")
 
 # Closed word classes of the grammar in English, German, French and Spanish.
 WORDS = {
-    TARGET: "you your yours yourself u ur he she they them him her du dich dir dein deine ihr euch sie tu te toi ton ta vous votre vos tú ti usted ustedes vosotros",
+    TARGET: "you your yours yourself u ur du dich dir dein deine euch tu te toi ton ta vous votre vos tú ti usted ustedes vosotros",
     NEGATION: "not no never isn aren wasn nobody without nicht kein keine nie niemals ne pas jamais sans nunca jamás tampoco sin",
     REPORT: "said says say told called calls wrote writes quoted reported claimed sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó",
     THREAT: "kill hurt destroy stab shoot beat töten umbringen schlagen tuer frapper détruire matar golpear destruir",
@@ -84,13 +84,13 @@ def grammar() -> Transducer:
         | {(1, x): (1, QUOTED, 0.0) for x in (INSULT, THREAT)}
         | {(s, BOUNDARY): (0, BOUNDARY, 0.0) for s in (0, 1)}
     )
-    # States of the weighing: 0 plain, 1 target seen, 2 matched, 3 matched with target.
+    # States of the weighing: 0 plain, 1 target seen, 2 matched, 3 matched with target, 4 a threat so far at nobody.
     weighing = Transducer(
-        {(0, TARGET): (1, TARGET, 0.0), (2, TARGET): (3, TARGET, 0.5)}
-        | {(s, INSULT): (t, INSULT, w) for s, t, w in ((0, 2, 1.0), (1, 3, 1.5), (2, 2, 1.0), (3, 3, 1.0))}
-        | {(s, THREAT): (t, THREAT, w) for s, t, w in ((0, 0, 0.0), (1, 3, 1.0), (2, 2, 0.5), (3, 3, 1.0))}
-        | {(s, x): (s, x, 0.2) for s in range(4) for x in (DENIED, QUOTED)}
-        | {(s, BOUNDARY): (0, BOUNDARY, 0.0) for s in range(4)}
+        {(0, TARGET): (1, TARGET, 0.0), (2, TARGET): (3, TARGET, 0.5), (4, TARGET): (3, TARGET, 1.0)}
+        | {(s, INSULT): (t, INSULT, w) for s, t, w in ((0, 2, 1.0), (1, 3, 1.5), (2, 2, 1.0), (3, 3, 1.0), (4, 2, 1.0))}
+        | {(s, THREAT): (t, THREAT, w) for s, t, w in ((0, 4, 0.0), (1, 3, 1.0), (2, 2, 0.5), (3, 3, 1.0))}
+        | {(s, x): (s, x, 0.2) for s in range(5) for x in (DENIED, QUOTED)}
+        | {(s, BOUNDARY): (0, BOUNDARY, 0.0) for s in range(5)}
     )
     return compose(compose(negation, reported, symbols), weighing, symbols)
 
