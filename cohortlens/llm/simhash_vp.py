@@ -82,9 +82,8 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     named = links(marked.select("fp"), radius)
     grouped = marked.join(named, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     stay = grouped.groupBy("root").agg(F.min(F.struct("key_id", "key_text")).alias("stays")).select("stays.*")
-    left = docs.withColumns({"_key_id": key[0], "_key_text": key[1]})
-    on = (F.col("_key_id") == F.col("key_id")) & (F.col("_key_text") == F.col("key_text"))
-    return left.join(stay, on, "left_semi").drop("_key_id", "_key_text")
+    stay = stay.toDF("_key_id", "_key_text")
+    return docs.withColumns({"_key_id": key[0], "_key_text": key[1]}).join(stay, stay.columns, "left_semi").drop(*stay.columns)
 
 
 def components(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
