@@ -23,10 +23,12 @@ from .common import documents, row_key, texts
 LENGTH, GRAM = 400, 64
 REACH = LENGTH - GRAM  # bytes on either side of an anchor's gram that a window around it can hold
 WINDOWS = REACH + 1
-CHUNK_BYTES = 1 << 20
-TASK_CONTEXTS = 3000  # surroundings that are refined in one go
+CHUNK_BYTES = 1 << 19
+TASK_CONTEXTS, TASK_WINDOWS = 1500, 300_000  # surroundings, and windows in them, that are refined in one go
 BUCKET_CONTEXTS = 30_000  # a larger bucket is refined by Spark, window by window
 FACTOR = 0x9E3779B97F4A7C15  # odd, so it can be divided by modulo 2**64
+INVERSE = pow(FACTOR, -1, 1 << 64)
+CODES = np.random.default_rng(GRAM).integers(1, 1 << 63, 256, np.int64).astype(np.uint64)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -68,15 +70,14 @@ class Hashes:
     """Polynomial hashes modulo 2**64 of any substring of ``data``; equal bytes, equal hash, wherever they stand."""
 
     def __init__(self, data):
-        codes = np.random.default_rng(GRAM).integers(1, 1 << 63, 256, np.int64).astype(np.uint64)
         powers = np.full(len(data) + 1, FACTOR, np.uint64)
         powers[0] = 1
         np.cumprod(powers, out=powers)
-        self.inverse = np.full(len(data) + 1, pow(FACTOR, -1, 1 << 64), np.uint64)
+        self.inverse = np.full(len(data) + 1, INVERSE, np.uint64)
         self.inverse[0] = 1
         np.cumprod(self.inverse, out=self.inverse)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(codes[data] * powers[:-1], out=self.sums[1:])
+        np.cumsum(CODES[data] * powers[:-1], out=self.sums[1:])
 
     def of(self, start, end):
         return _mixed((self.sums[end] - self.sums[start]) * self.inverse[start])
@@ -221,21 +222,37 @@ def refine(bucket, settled, at, left, bodies):
     """(row, start, end) of the maximal runs of repeated windows in rows that are not settled."""
     sizes = np.array([len(b) for b in bodies])
     begin = np.cumsum(sizes) - sizes
-    grams = Hashes(np.frombuffer(b"".join(bodies), np.uint8)).grams()
-    two = _named(grams[:-GRAM], grams[GRAM:])
-    four = _named(two[: -2 * GRAM], two[2 * GRAM :])
-    last = LENGTH - 4 * GRAM
-    whole = _named(four[:-last], four[last:])
-    windows = sizes - LENGTH + 1
-    row = np.repeat(np.arange(len(sizes)), windows)
-    step = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    place = (bucket[row].astype(np.uint64) << np.uint64(16)) | (left[row] - step + REACH).astype(np.uint64)
-    # Windows are compared only with those that lie alike around the same gram.
-    for names in (two, four, whole):
-        order, same = _alone(_named(names[begin[row] + step], place))
-        row, step, place = row[order][same], step[order][same], place[order][same]
-    open_ = ~settled[row]
-    row, step = row[open_], step[open_]
+    sums, inverse = _sums_from(bodies, sizes, int(sizes.max()))
+
+    def gram(row, step):
+        here = begin[row] + step
+        return _mixed((sums[here + GRAM] - sums[here]) * inverse[step])
+
+    def two(row, step):
+        return _named(gram(row, step), gram(row, step + GRAM))
+
+    # Windows are compared only with those that lie alike around the same gram, so those at a few
+    # distances from it are refined at a time.
+    found, last = [], LENGTH - 4 * GRAM
+    wide = max(1, TASK_WINDOWS // len(sizes))
+    for low in range(0, WINDOWS, wide):
+        first = np.maximum(0, left - (low + wide - 1))
+        count = np.maximum(0, np.minimum(sizes - LENGTH, left - low) - first + 1)
+        row = np.repeat(np.arange(len(sizes)), count)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count - first, count)
+        place = bucket[row].astype(np.uint64) << np.uint64(16) | (left[row] - step).astype(np.uint64)
+        name = two(row, step)
+        for level in range(3):
+            if level == 1:  # 256 bytes from the buckets of 128
+                name = _named(name, two(row, step + 2 * GRAM))
+            elif level == 2:  # all of them, from the buckets of 256 here and so much later
+                name = _named(name, _named(two(row, step + last), two(row, step + last + 2 * GRAM)))
+            order, same = _alone(_named(name, place))
+            order = order[same]
+            row, step, place, name = row[order], step[order], place[order], name[order]
+        open_ = ~settled[row]
+        found.append((row[open_], step[open_]))
+    row, step = (np.concatenate([f[k] for f in found]) for k in (0, 1))
     order = np.lexsort((step, row))
     row, step = row[order], step[order]
     if not len(row):
@@ -246,6 +263,20 @@ def refine(bucket, settled, at, left, bodies):
     return row[new], (start + step)[new], (start + step)[final] + LENGTH
 
 
+def _sums_from(bodies, sizes, longest):
+    """Running sums over all bodies, each with powers that begin anew, and the inverse powers."""
+    powers, inverse = (np.cumprod(np.r_[np.uint64(1), np.full(longest, x, np.uint64)]) for x in (np.uint64(FACTOR), np.uint64(INVERSE)))
+    sums = np.zeros(int(sizes.sum()) + 1, np.uint64)
+    at = 0
+    for k in range(0, len(bodies), 512):
+        data = np.frombuffer(b"".join(bodies[k : k + 512]), np.uint8)
+        inside = np.arange(len(data)) - np.repeat(np.cumsum(sizes[k : k + 512]) - sizes[k : k + 512], sizes[k : k + 512])
+        np.cumsum(CODES[data] * powers[inside], out=sums[at + 1 : at + 1 + len(data)])
+        sums[at + 1 : at + 1 + len(data)] += sums[at]
+        at += len(data)
+    return sums, inverse
+
+
 def _alone(names):
     """A sorted order of ``names`` and which of them, in that order, have an equal one."""
     order = np.argsort(names)
