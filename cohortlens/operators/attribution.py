@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
@@ -18,9 +18,9 @@ from .sampling import fixed_sample
 from .tree_shap import TREE_MODELS, tree_contributions
 
 
-def transform_features(pipeline: PipelineModel, df: DataFrame) -> DataFrame:
-    """Apply every stage but the classifier."""
-    return PipelineModel(stages=pipeline.stages[:-1]).transform(df)
+def feature_stages(pipeline: PipelineModel) -> PipelineModel:
+    """What comes before the classifier, as a pipeline of its own."""
+    return PipelineModel(stages=pipeline.stages[:-1])
 
 
 def linear_terms(x: Column, coefficients: Sequence[float], means: Sequence[float]) -> Column:
@@ -31,9 +31,9 @@ def linear_terms(x: Column, coefficients: Sequence[float], means: Sequence[float
 
 
 def background_means(background: DataFrame, x: str = "x") -> list[float]:
-    """Mean of each feature over the background rows."""
-    size = len(background.select(x).first()[0])
-    return list(background.agg(*[F.avg(F.col(x)[j]) for j in range(size)]).first())
+    """Mean of each feature over the background rows, in one pass; none for an empty background."""
+    means = background.select(F.posexplode(x).alias("j", "v")).groupBy("j").agg(F.avg("v").alias("mean"))
+    return [r["mean"] for r in means.orderBy("j").collect()]
 
 
 def linear_contributions(
@@ -55,34 +55,42 @@ def sampled_contributions(
     permutations: int = 10,
     features: str = "features",
     seed: int = SEED,
-) -> DataFrame:
-    """(row_id, x, phi) for any model with a probability, by permutation sampling.
-
-    Every row is paired ``permutations`` times with a background row and a feature order. Walking
-    along the order, features switch one by one from the background's to the row's value; each
-    switch's change of the score belongs to that feature. All mixed vectors of all rows are scored in
-    one pass. Each scored vector adds its score to the feature switched last and takes it from the
-    feature switched next, so the walk needs neither ordering nor a window, and the sums are combined
-    before the shuffle.
-
-    The sum of a row's values is its score minus the mean score of its background partners.
+    scorer: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, float]:
+    """(row_id, x, phi) for any model with a probability, by permutation sampling, and the base value.
+
+    A walk pairs a row with a background row and a feature order. Along the order, features switch one
+    by one from the background's to the row's value; each switch's change of the score belongs to that
+    feature. Every row meets every background row equally often, and at least ``permutations`` walks
+    are made: the work is rows x background x (features + 1) scores, so choose the background's size.
+    All mixed vectors are scored in one pass; each adds its score to the feature switched last and
+    takes it from the feature switched next, so the walk needs neither ordering nor a window, and the
+    sums are combined before the shuffle.
+
+    The sum of a row's values is its score minus the base value, the mean score of the background.
+    Copies of a row, also under one ``row_id`` or a null one, each get the row's own values. ``scorer``
+    adds ``score`` to a table with ``features``, if it is not the model's probability.
     """
-    partners = materialize(_numbered_background(background, row_id, features))
+    scorer = scorer or (lambda mixed: score(model, mixed))
+    partners = _numbered_background(background, row_id, features)
     count, size = partners.agg(F.count("*"), F.max(F.size("_other"))).first()
-    rows = df.select(F.col(row_id), vector_to_array(features).alias("x"))
+    if not count:
+        raise ValueError("sampled attributions need a background")
+    base = scorer(partners.withColumn(features, array_to_vector("_other"))).agg(F.avg("score")).first()[0]
+    rounds = -(-permutations // count)
+    numbered = df.select(F.col(row_id), vector_to_array(features).alias("x"))
+    rows = materialize(spread(numbered).withColumn("_row", F.monotonically_increasing_id()))
     walks = (
-        spread(rows).withColumn("_walk", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
+        rows.withColumn("_walk", F.explode(F.sequence(F.lit(0), F.lit(rounds * count - 1))))
+        .withColumn("_place", F.pmod(F.col("_walk"), F.lit(count)))
+        .join(partners, "_place")
         .withColumn("_order", _feature_order(row_id, size, seed))
         .withColumn("_turn", F.array(*[F.array_position("_order", j) for j in range(size)]))
-        .withColumn("_place", F.pmod(seeded_hash(seed, row_id, "_walk"), F.lit(count)) + 1)
-        # At most BACKGROUND_ROWS rows.
-        .join(F.broadcast(partners), "_place")
     )
     # _known features have switched so far; feature j does so at turn _turn[j], counted from 1.
     mixed = walks.withColumn("_known", F.explode(F.sequence(F.lit(0), F.lit(size)))).withColumn(
         features, array_to_vector(_mix(size))
     )
-    scored = score(model, mixed)
     changes = F.filter(
         F.array(
             F.struct(F.get("_order", F.col("_known") - 1).alias("feature"), F.col("score").alias("change")),
@@ -91,12 +99,12 @@ def sampled_contributions(
         lambda c: c["feature"].isNotNull(),
     )
     summed = (
-        scored.select(row_id, F.inline(changes))
-        .groupBy(row_id, "feature").agg((F.sum("change") / permutations).alias("value"))
-        .groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("feature", "value"))).alias("_phi"))
-        .select(row_id, F.col("_phi.value").alias("phi"))
+        scorer(mixed).select("_row", F.inline(changes))
+        .groupBy("_row", "feature").agg((F.sum("change") / (rounds * count)).alias("value"))
+        .groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("feature", "value"))).alias("_phi"))
+        .select("_row", F.col("_phi.value").alias("phi"))
     )
-    return rows.join(summed, row_id)
+    return rows.join(summed, "_row").drop("_row"), base
 
 
 def _feature_order(row_id: str, size: int, seed: int) -> Column:
@@ -108,9 +116,10 @@ def _feature_order(row_id: str, size: int, seed: int) -> Column:
 
 
 def _numbered_background(background: DataFrame, row_id: str, features: str) -> DataFrame:
-    """Up to BACKGROUND_ROWS vectors with their place from 1."""
-    few = background.select(row_id, vector_to_array(features).alias("_other")).limit(BACKGROUND_ROWS)
-    return few.select(F.row_number().over(Window.orderBy(row_id)).cast("long").alias("_place"), "_other")
+    """All background vectors, stored, with their place from 0."""
+    stored = materialize(background.select(F.col(row_id).alias("_id"), vector_to_array(features).alias("_other")))
+    place = F.row_number().over(Window.orderBy("_id", "_other")) - 1
+    return materialize(stored.select(place.cast("long").alias("_place"), "_other"))
 
 
 def _mix(size: int) -> Column:
@@ -121,16 +130,16 @@ def _mix(size: int) -> Column:
 
 def explain(
     df: DataFrame, model: Model, row_id: str, background_rows: int = BACKGROUND_ROWS, features: str = "features"
-) -> DataFrame:
-    """(row_id, x, phi) for the positive class by the method that fits the model.
+) -> tuple[DataFrame, float]:
+    """(row_id, x, phi) for the positive class by the method that fits the model, and the base value.
 
     Tree ensembles and linear models are exact, anything else is sampled.
     """
     if isinstance(model, TREE_MODELS):
-        return tree_contributions(df, model, [row_id], features)[0]
-    background = fixed_sample(df, background_rows, row_id)
+        return tree_contributions(df, model, [row_id], features)
+    background = materialize(fixed_sample(df, background_rows, row_id))
     if isinstance(model, LogisticRegressionModel):
-        return linear_contributions(df, model, [row_id], background, features)[0]
+        return linear_contributions(df, model, [row_id], background, features)
     return sampled_contributions(df, model, row_id, background, features=features)
 
 

@@ -19,10 +19,9 @@ def first_per_group(df: DataFrame, group: str, order: str) -> DataFrame:
     The minimum is aggregated before the shuffle, and the rows are then matched on (group, minimum)
     instead of being ranked in one window per group, so a group of any size spreads over many tasks.
     """
-    keyed = df.where(F.col(group).isNotNull() & F.col(order).isNotNull())
-    lowest = keyed.groupBy(group).agg(F.min(order).alias(order))
-    unkeyed = df.where(F.col(group).isNull() | F.col(order).isNull())
-    return keyed.join(lowest, [group, order], "left_semi").select(df.columns).unionByName(unkeyed)
+    lowest = df.groupBy(group).agg(F.min(order).alias(order)).withColumn("_lowest", F.lit(True))
+    matched = df.join(lowest, [group, order], "left")
+    return matched.where(F.col("_lowest") | F.col(group).isNull() | F.col(order).isNull()).select(df.columns)
 
 
 def icu_cohort(patients: DataFrame, admissions: DataFrame, stays: DataFrame) -> DataFrame:

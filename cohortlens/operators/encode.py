@@ -13,7 +13,7 @@ from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import NULL_CLASS
@@ -26,6 +26,7 @@ UNKNOWN_CODE = -1
 # are stored and joined, and their file size decides whether Spark broadcasts them.
 INLINE_VALUES = 100
 PREFIX = "f_"
+DICTIONARY = "dictionary"
 
 
 def split_by_type(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
@@ -68,6 +69,21 @@ def _looked_up(df: DataFrame, codes: DataFrame, column: str, output: str) -> Dat
     return joined.withColumn(output, F.coalesce(F.col("_code"), F.lit(UNKNOWN_CODE))).drop("_value", "_code")
 
 
+class _DictionaryWriter(DefaultParamsWriter):
+    """Puts a copy of the dictionary into the stage's own folder, so that a saved model needs nothing else."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        stage: DictionaryEncoder = self.instance
+        self.sparkSession.read.parquet(stage.getOrDefault(stage.path)).write.parquet(f"{path}/{DICTIONARY}")
+
+
+class _DictionaryReader(DefaultParamsReader):
+    def load(self, path: str) -> DictionaryEncoder:
+        stage = super().load(path)
+        return stage._set(path=f"{path}/{DICTIONARY}")
+
+
 class DictionaryEncoder(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Ordinal encoding through a dictionary table, for columns with very many values."""
 
@@ -79,6 +95,13 @@ class DictionaryEncoder(Transformer, HasInputCol, HasOutputCol, DefaultParamsRea
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def write(self) -> _DictionaryWriter:
+        return _DictionaryWriter(self)
+
+    @classmethod
+    def read(cls) -> _DictionaryReader:
+        return _DictionaryReader(cls)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         codes = dataset.sparkSession.read.parquet(self.getOrDefault(self.path))
         source = "_filled"

@@ -94,8 +94,10 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", by:
         (F.col("cum_neg") / F.nullif("total_neg", F.lit(0))).alias("fpr"),
         (F.col("cum_pos") / F.nullif("total_pos", F.lit(0))).alias("tpr"),
     )
-    starts = scored.select(*keys, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return points.unionByName(starts.distinct())
+    # One start a curve, at its highest threshold: no other read of the scores.
+    highest = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
+    starts = totals.where(highest).select(*keys, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.unionByName(starts)
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", by: str | None = None) -> DataFrame:

@@ -8,10 +8,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import seeded_hash
+from ..session import materialize
 from ..specs import SEED, TEST_FRACTION
 
 MAX_CLASSES = 1_000
-_BLOCK = 1 << 20  # hash values per counting block; the hash space of 2**32 has 4096 of them
+_SHIFTS = (20, 10, 0)  # bits below a counting block: 4096 blocks, then 1024 in one, then single numbers
 
 
 def class_counts(df: DataFrame, label: str) -> dict[object, int]:
@@ -44,19 +45,37 @@ def stratified_split(
     """Add a ``split`` column ('test' / 'train') with exact test sizes per class.
 
     A row is a test row if its pseudo-random number (``order``, an integer in [0, 2**32)) is among
-    the smallest of its class, ties by ``row_id``. Instead of ranking whole classes, the cut-off row
-    of each class is located by counting blocks of numbers and then ranking the one block it falls
-    into; the split itself is then a plain comparison that moves no data.
+    the smallest of its class, ties by ``row_id`` and then by the row's place in the table, which is
+    written out once: rows that share an identifier, or have none, are told apart. Instead of ranking
+    whole classes, the cut-off row of each class is located by counting ever smaller blocks of numbers;
+    the split itself is then a plain comparison that moves no data.
     """
     number = seeded_hash(seed, row_id) if order is None else order
-    keyed = df.select(F.col(label).alias("_class"), number.alias("_number"), F.col(row_id).alias("_id"))
+    stored = materialize(df.withColumns({"_number": number.cast("long"), "_tie": F.monotonically_increasing_id()}))
+    keyed = stored.select(F.col(label).alias("_class"), "_number", F.col(row_id).alias("_id"), "_tie")
     sizes = {c: k for c, k in split_sizes(class_counts(df, label), fraction).items() if k > 0}
+    at = F.struct(F.col("_number"), F.col(row_id).alias("_id"), F.col("_tie"))
+    kind = df.schema[row_id].dataType
     is_test = {
-        cut["_class"]: (number < cut["_number"]) | ((number == cut["_number"]) & (F.col(row_id) <= cut["_id"]))
+        cut["_class"]: at <= F.struct(
+            F.lit(cut["_number"]).cast("long").alias("_number"), F.lit(cut["_id"]).cast(kind).alias("_id"),
+            F.lit(cut["_tie"]).cast("long").alias("_tie"),
+        )
         for cut in _cutoffs(keyed, sizes)
     }
     split = F.when(F.coalesce(per_class(F.col(label), is_test), F.lit(False)), "test").otherwise("train")
-    return df.withColumn("split", split)
+    return stored.withColumn("split", split).drop("_number", "_tie")
+
+
+def grouped_split(
+    df: DataFrame, label: str, group: str, fraction: float = TEST_FRACTION, seed: int = SEED, order: Column | None = None
+) -> DataFrame:
+    """Add ``split`` so that no group is on both sides: groups are split, stratified by their largest
+    label, and rows follow. Test sizes are exact in groups. Rows without a group are training rows."""
+    number = seeded_hash(seed, group) if order is None else order
+    groups = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.max(label).alias(label))
+    sides = stratified_split(groups, label, group, fraction, seed, number).select(group, "split")
+    return df.join(sides, group, "left").withColumn("split", F.coalesce("split", F.lit("train")))
 
 
 def per_class(label: Column, values: Mapping[object, Column]) -> Column:
@@ -69,28 +88,37 @@ def per_class(label: Column, values: Mapping[object, Column]) -> Column:
 
 
 def _cutoffs(keyed: DataFrame, sizes: Mapping[object, int]) -> list:
-    """The last test row of each class: (_class, _number, _id), one row per class."""
+    """The last test row of each class: (_class, _number, _id, _tie), one row per class.
+
+    Blocks of numbers are counted and the one with the cut-off is divided further, down to single
+    numbers, so that only rows with the very same number are ranked in one task.
+    """
     if not sizes:
         return []
-    label = F.col("_class")
-    block = F.shiftright(F.col("_number"), _BLOCK.bit_length() - 1)
-    counted = keyed.groupBy("_class", block.alias("_block")).agg(F.count("*").alias("_n"))
-    running = Window.partitionBy("_class").orderBy("_block")
-    wanted = per_class(label, {c: F.lit(k) for c, k in sizes.items()})
-    cuts = (
-        counted.withColumn("_cum", F.sum("_n").over(running))
-        .withColumn("_left", wanted - (F.col("_cum") - F.col("_n")))
-        .where(F.col("_left").between(1, F.col("_n")))
-        .select("_class", "_block", "_left")
-        .collect()
-    )
-    cut_block = per_class(label, {r["_class"]: F.lit(r["_block"]) for r in cuts})
-    left = per_class(label, {r["_class"]: F.lit(r["_left"]) for r in cuts})
-    ranked = Window.partitionBy("_class").orderBy("_number", "_id")
+    label, left, found = F.col("_class"), dict(sizes), {}
+    for shift in _SHIFTS:
+        block = F.shiftright(F.col("_number"), shift)
+        inside = keyed
+        if found:
+            step = shift - _SHIFTS[_SHIFTS.index(shift) - 1]
+            inside = keyed.where(F.shiftright(block, -step) == per_class(label, {c: F.lit(b) for c, b in found.items()}))
+        counted = inside.groupBy("_class", block.alias("_block")).agg(F.count("*").alias("_n"))
+        running = Window.partitionBy("_class").orderBy("_block")
+        wanted = per_class(label, {c: F.lit(k) for c, k in left.items()})
+        cuts = (
+            counted.withColumn("_cum", F.sum("_n").over(running))
+            .withColumn("_left", wanted - (F.col("_cum") - F.col("_n")))
+            .where(F.col("_left").between(1, F.col("_n")))
+            .select("_class", "_block", "_left")
+            .collect()
+        )
+        found = {r["_class"]: r["_block"] for r in cuts}
+        left = {r["_class"]: r["_left"] for r in cuts}
+    ranked = Window.partitionBy("_class").orderBy("_number", "_id", "_tie")
     return (
-        keyed.where(block == cut_block)
+        keyed.where(F.col("_number") == per_class(label, {c: F.lit(b) for c, b in found.items()}))
         .withColumn("_rank", F.row_number().over(ranked))
-        .where(F.col("_rank") == left)
+        .where(F.col("_rank") == per_class(label, {c: F.lit(k) for c, k in left.items()}))
         .collect()
     )
 

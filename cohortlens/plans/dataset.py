@@ -56,23 +56,29 @@ def build_dataset(tables: Mapping[str, DataFrame], cut_lineage: bool = True) ->
     base = icu_cohort(tables["patients"], tables["admissions"], tables["icustays"])
     if cut_lineage:
         base = materialize(base)
-    return assemble(
-        base,
-        [
-            ("icustay_id", vitals_first_day(tables["chartevents"], base)),
-            ("hadm_id", labs_first_day(tables["labevents"], base)),
-            ("hadm_id", diagnosis_flags(tables["diagnoses_icd"])),
-        ],
-        DATASET_COLUMNS,
-        fill={flag.name: 0 for flag in DIAGNOSES},
-    )
+    return assemble_parts(base, build_parts(tables, base))
+
+
+def build_parts(tables: Mapping[str, DataFrame], base: DataFrame) -> dict[str, DataFrame]:
+    """The tables that are joined to the cohort ``base``."""
+    return {
+        "first_day_vitals": vitals_first_day(tables["chartevents"], base),
+        "first_day_labs": labs_first_day(tables["labevents"], base),
+        "diagnosis_flags": diagnosis_flags(tables["diagnoses_icd"]),
+    }
+
+
+def assemble_parts(base: DataFrame, parts: Mapping[str, DataFrame]) -> DataFrame:
+    keys = {"first_day_vitals": "icustay_id", "first_day_labs": "hadm_id", "diagnosis_flags": "hadm_id"}
+    joined = [(key, parts[name]) for name, key in keys.items()]
+    return assemble(base, joined, DATASET_COLUMNS, fill={flag.name: 0 for flag in DIAGNOSES})
 
 
-def quality_reports(dataset: DataFrame) -> dict[str, DataFrame]:
-    """The checks and summaries that accompany a build; persist or store the dataset first."""
+def quality_reports(dataset: DataFrame, parts: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The checks and summaries that accompany a build; store the dataset and its parts first."""
     totals = {**{c: f"{c}_n" for c in SUB_LABELS}, TARGET: f"any_{TARGET}_n"}
     return {
-        "rows": row_counts({"dataset": dataset}),
+        "rows": row_counts({**(parts or {}), "dataset": dataset}),
         "shape": shape(dataset),
         "class_distribution": class_distribution(dataset, TARGET),
         "sub_labels": flag_totals(dataset, totals),

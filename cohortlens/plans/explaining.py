@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from ..operators.attribution import beeswarm, explain, importance, transform_features
+from ..operators.attribution import beeswarm, explain, feature_stages, importance
 from ..operators.encode import feature_names
 from ..operators.sampling import fixed_sample
 from ..session import materialize
 from ..sources import write_ranked, write_table
-from ..specs import BEESWARM_FEATURES, EXPLAIN_ROWS, TOP_FEATURES
+from ..specs import BEESWARM_FEATURES, TOP_FEATURES
 from .training import prepare
 
 ROWS_PER_TASK = 50
@@ -20,26 +20,28 @@ ROWS_PER_TASK = 50
 
 @dataclass(frozen=True)
 class Explanation:
-    """Attributions per row, their ranking, and the long table behind a summary plot."""
+    """Attributions per row and their base value, their ranking, and the long table behind a summary plot."""
 
     rows: DataFrame
+    base: float
     importance: DataFrame
     beeswarm: DataFrame
 
 
 def explain_pipeline(
-    pipeline: PipelineModel, dataset: DataFrame, row_id: str = "icustay_id", rows: int | None = EXPLAIN_ROWS
+    pipeline: PipelineModel, dataset: DataFrame, row_id: str = "icustay_id", rows: int | None = None
 ) -> Explanation:
-    """Explain a reproducible sample of ``rows`` rows, or the whole dataset with ``rows=None``."""
+    """Explain the whole dataset, or a reproducible sample of ``rows`` rows."""
     frame, _, _ = prepare(dataset)
     if rows is not None:
         # A limited sample is one partition; attribution is heavy enough to spread even that.
         frame = fixed_sample(frame, rows, row_id).repartition(-(-rows // ROWS_PER_TASK), row_id)
     names = feature_names(pipeline.stages)
-    vectors = materialize(transform_features(pipeline, frame).select(row_id, "features"))
-    explained = materialize(explain(vectors, pipeline.stages[-1], row_id))
+    vectors = materialize(feature_stages(pipeline).transform(frame).select(row_id, "features"))
+    explained, base = explain(vectors, pipeline.stages[-1], row_id)
+    explained = materialize(explained)
     return Explanation(
-        explained, importance(explained, names), beeswarm(explained, names, row_id, BEESWARM_FEATURES)
+        explained, base, importance(explained, names), beeswarm(explained, names, row_id, BEESWARM_FEATURES)
     )
 
 

@@ -7,23 +7,30 @@ from collections.abc import Mapping
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
 
+from ..operators.cohort import icu_cohort
 from ..sources import write_csv, write_table
 from . import explaining, training
-from .dataset import build_dataset, quality_reports
+from .dataset import assemble_parts, build_parts, quality_reports
 
 
 def run(
     tables: Mapping[str, DataFrame],
     out: str,
     estimators: Mapping[str, Estimator] | None = None,
-    explain_rows: int | None = explaining.EXPLAIN_ROWS,
+    explain_rows: int | None = None,
 ) -> None:
     """Write everything under ``out``; each step reads what the step before has stored."""
     spark = next(iter(tables.values())).sparkSession
-    write_table(build_dataset(tables), f"{out}/dataset")
-    dataset = spark.read.parquet(f"{out}/dataset")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, f"{out}/{name}")
+        return spark.read.parquet(f"{out}/{name}")
+
+    base = stored(icu_cohort(tables["patients"], tables["admissions"], tables["icustays"]), "cohort")
+    parts = {name: stored(df, name) for name, df in build_parts(tables, base).items()}
+    dataset = stored(assemble_parts(base, parts), "dataset")
     write_csv(dataset, f"{out}/dataset_csv")
-    for name, report in quality_reports(dataset).items():
+    for name, report in quality_reports(dataset, {"cohort": base, **parts}).items():
         write_csv(report, f"{out}/reports/{name}")
     training.store(training.train(dataset, estimators=estimators), out)
     best = PipelineModel.load(f"{out}/best_model")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import slug
 from ..operators.encode import label_encode, split_by_type
-from ..operators.metrics import confusion, roc_curve
+from ..operators.metrics import class_report, confusion, roc_curve
 from ..operators.models import TrainedModels, all_scores, train_and_evaluate
 from ..operators.sampling import stratified_split
 from ..sources import write_csv
@@ -44,9 +44,10 @@ def train(
 
 
 def store(trained: TrainedModels, out: str) -> None:
-    """Metrics table, ROC points, confusion grids and the best pipeline under ``out``."""
+    """Metrics table, ROC points, confusion grids, class reports and the best pipeline under ``out``."""
     write_csv(trained.performance.drop("place"), f"{out}/model_performance")
     write_csv(roc_curve(all_scores(trained.scored), by="model"), f"{out}/roc_all_models")
     for name, scored in trained.scored.items():
         write_csv(confusion(scored), f"{out}/confusion_{slug(name)}")
+        write_csv(class_report(scored), f"{out}/class_report_{slug(name)}")
     trained.pipelines[trained.best].write().overwrite().save(f"{out}/best_model")

@@ -6,11 +6,14 @@ line items stays, chart and lab events and, with their parts, diagnoses. Every s
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.quality import class_distribution, flag_totals, missing_counts, null_report, rate_by
 from ..plans.dataset import build_dataset, diagnosis_flags, labs_first_day, vitals_first_day
 from ..operators.cohort import icu_cohort
+from ..operators.sampling import grouped_split, stratified_split
 from ..specs import (
     ADULT_YEARS, AGE_CAP, DATASET_COLUMNS, DIAGNOSES, FAHRENHEIT_ITEMS, LABS, MISSING_CHECKED, OUTCOME,
     STAY_COLUMNS, SUB_LABELS, TARGET, VITALS, WINDOW_HOURS,
@@ -22,6 +25,10 @@ _VITAL_ITEMS = [c for m in VITALS for c in m.codes]
 _LAB_ITEMS = [c for m in LABS for c in m.codes]
 
 
+# Table names behind FROM and JOIN; Spark gets the tables as arguments, not as views of the session.
+_SOURCE = re.compile(r"\b(FROM |JOIN )(customer|orders|lineitem|part)\b")
+
+
 def _numbered(items: list[int]) -> str:
     return ", ".join(f"({i}, {c})" for i, c in enumerate(items))
 
@@ -63,9 +70,8 @@ JOIN (VALUES {_numbered(_LAB_ITEMS)}) items(place, itemid) ON l_partkey % {len(_
 
 
 def clinical_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    for name in ("customer", "orders", "lineitem", "part"):
-        table(spark, d, name).createOrReplaceTempView(name)
-    return {name: spark.sql(text) for name, text in DERIVED.items()}
+    sources = {name: table(spark, d, name) for name in ("customer", "orders", "lineitem", "part")}
+    return {name: spark.sql(_SOURCE.sub(r"\1{\2} AS \2", text), **sources) for name, text in DERIVED.items()}
 
 
 COHORT = f"""raw_cohort AS (
@@ -149,7 +155,37 @@ def q49_clinical_sub_labels(spark: SparkSession, d: str) -> DataFrame:
     return flag_totals(build_dataset(clinical_tables(spark, d)), totals)
 
 
+def q50_clinical_split(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes of the stratified split of a table whose stay ids repeat."""
+    split = stratified_split(build_dataset(clinical_tables(spark, d)), TARGET, "icustay_id")
+    return split.groupBy(F.col(TARGET).cast("int").alias(TARGET), "split").agg(F.count("*").alias("n"))
+
+
+def q51_group_split(spark: SparkSession, d: str) -> DataFrame:
+    """The sides on which each patient has rows: one."""
+    dataset = build_dataset(clinical_tables(spark, d))
+    split = grouped_split(dataset, TARGET, "subject_id", order=F.expr(sql.number("subject_id")))
+    return split.select("subject_id", "split").distinct()
+
+
+def _test_sizes(rows: str) -> str:
+    """CTEs that share ceil(n / 5) test rows out among the classes of ``rows`` (label), by largest remainder."""
+    return f"""c AS (SELECT label, count(*) AS k, sum(count(*)) OVER () AS n FROM {rows} GROUP BY label),
+s AS (SELECT *, n - CAST(ceil(n / 5.0) AS bigint) AS n_train FROM c),
+f AS (SELECT *, CAST(n_train * k AS bigint) // CAST(n AS bigint) AS low, CAST(n_train * k AS bigint) % CAST(n AS bigint) AS rest FROM s),
+z AS (SELECT label, k, k - low - CASE WHEN row_number() OVER (ORDER BY rest DESC, label) <= n_train - sum(low) OVER () THEN 1 ELSE 0 END AS n_test FROM f)"""
+
+
+Q50 = f"""{DATASET}, l AS (SELECT CAST({TARGET} AS integer) AS label FROM dataset), {_test_sizes('l')}
+SELECT label AS {TARGET}, 'test' AS split, CAST(n_test AS bigint) AS n FROM z WHERE n_test > 0
+UNION ALL SELECT label, 'train', CAST(k - n_test AS bigint) FROM z WHERE k > n_test"""
+Q51 = f"""{DATASET}, g AS (SELECT subject_id, max(CAST({TARGET} AS integer)) AS label FROM dataset GROUP BY subject_id), {_test_sizes('g')},
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {sql.number('subject_id')}, subject_id) AS place FROM g)
+SELECT subject_id, CASE WHEN place <= n_test THEN 'test' ELSE 'train' END AS split FROM r JOIN z USING (label)"""
+
 QUERIES = {
+    "q50_clinical_split": q50_clinical_split,
+    "q51_group_split": q51_group_split,
     "q40_clinical_dataset": q40_clinical_dataset,
     "q41_icu_cohort": q41_icu_cohort,
     "q42_first_day_vitals": q42_first_day_vitals,
@@ -162,6 +198,8 @@ QUERIES = {
     "q49_clinical_sub_labels": q49_clinical_sub_labels,
 }
 ORACLES = {
+    "q50_clinical_split": Q50,
+    "q51_group_split": Q51,
     "q40_clinical_dataset": f"{DATASET} SELECT * FROM dataset",
     "q41_icu_cohort": f"WITH {SOURCES}, {COHORT} SELECT * FROM cohort",
     "q42_first_day_vitals": f"WITH {SOURCES}, {COHORT} {VITALS_SQL}",

@@ -1,7 +1,7 @@
 """Models and attributions on the embedding vectors.
 
-Fits use few trees and rounds; the operators' defaults are the full settings. What a fit returns has
-no SQL counterpart, so the queries that can be checked return an identity of the method instead.
+Fits use the operators' own settings. What a fit returns has no SQL counterpart; the queries that can be
+checked return an identity of the method, or apply the method to coefficients that SQL knows too.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ WIDTH = 64
 NAMES = [f"e{j}" for j in range(WIDTH)]
 # The vectors have ten classes; the upper half is the positive one.
 POSITIVE_FROM = 5
-TREES, FOREST_DEPTH, ROUNDS = 10, 8, 5
-PERMUTATIONS = 2
+# Every row meets each of them: rows x partners x (features + 1) scores.
+WALK_PARTNERS = 20
 
 
 def vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -53,12 +53,12 @@ def fit_logistic(spark: SparkSession, d: str):
 
 def fit_forest(spark: SparkSession, d: str):
     rows = weighted(vectors(spark, d))
-    return models.random_forest(TREES, FOREST_DEPTH).fit(rows), rows
+    return models.random_forest().fit(rows), rows
 
 
 def fit_boosting(spark: SparkSession, d: str):
     rows = vectors(spark, d)
-    return models.gradient_boosting(ROUNDS).fit(rows), rows
+    return models.gradient_boosting().fit(rows), rows
 
 
 def q23_linear_shap(spark: SparkSession, d: str) -> DataFrame:
@@ -76,10 +76,20 @@ def _linear(spark: SparkSession, d: str) -> DataFrame:
 
 
 LINEAR = f"""SELECT u.vec_id, u.j, (x - mean) * ((u.j % 7 - 3) * 0.25) AS phi FROM u JOIN m USING (j)"""
-UNNESTED = f"""WITH u AS (SELECT vec_id, unnest(range({WIDTH})) AS j, CAST(unnest(embedding) AS double) AS x FROM embeddings),
-b AS (SELECT vec_id FROM embeddings ORDER BY {sql.number('vec_id')}, vec_id LIMIT {BACKGROUND_ROWS}),
+
+
+def _unnested(background: int) -> str:
+    return f"""WITH u AS (SELECT vec_id, unnest(range({WIDTH})) AS j, CAST(unnest(embedding) AS double) AS x FROM embeddings),
+b AS (SELECT vec_id FROM embeddings ORDER BY {sql.number('vec_id')}, vec_id LIMIT {background}),
 m AS (SELECT j, avg(x) AS mean FROM u JOIN b USING (vec_id) GROUP BY j)"""
-Q23 = f"{UNNESTED} SELECT vec_id, 'e' || j AS feature, {sql.rounded('phi', 7)} AS phi FROM ({LINEAR})"
+
+
+def _linear_sql(background: int) -> str:
+    return f"{_unnested(background)} SELECT vec_id, 'e' || j AS feature, {sql.rounded('phi', 7)} AS phi FROM ({LINEAR})"
+
+
+UNNESTED = _unnested(BACKGROUND_ROWS)
+Q23 = _linear_sql(BACKGROUND_ROWS)
 
 
 def q24_topk(spark: SparkSession, d: str) -> DataFrame:
@@ -99,8 +109,8 @@ def q27_model_table(spark: SparkSession, d: str) -> DataFrame:
     performance = None
     for name, estimator in (
         ("Logistic Regression", models.logistic_regression(total_weight(train))),
-        ("Random Forest", models.random_forest(TREES, FOREST_DEPTH)),
-        ("Gradient Boosting", models.gradient_boosting(ROUNDS)),
+        ("Random Forest", models.random_forest()),
+        ("Gradient Boosting", models.gradient_boosting()),
     ):
         row = evaluate(models.score(estimator.fit(train), test), name)
         performance = row if performance is None else performance.unionByName(row)
@@ -122,6 +132,22 @@ def q30b_logreg_balance(spark: SparkSession, d: str) -> DataFrame:
 Q30B = "SELECT CAST(0.0 AS double) AS gap, count(*) AS n FROM embeddings"
 
 
+def q30c_logreg_gradient(spark: SparkSession, d: str) -> DataFrame:
+    """The gradient of the penalised loss at each fitted coefficient, relative to the total weight: next to
+    nothing, and only so for the right penalty."""
+    model, rows = fit_logistic(spark, d)
+    total = total_weight(rows)
+    slopes = F.array(*[F.lit(float(c)) for c in model.coefficients])
+    scored = models.score(model, rows).withColumn("gap", F.col(models.WEIGHT) * (F.col("score") - F.col("label")))
+    sums = scored.select("gap", F.posexplode(vector_to_array("features")).alias("j", "x"))
+    sums = sums.groupBy("j").agg((F.sum(F.col("gap") * F.col("x")) / total).alias("g"))
+    gradient = F.col("g") + F.lit(1.0 / total) * F.get(slopes, F.col("j"))
+    return sums.select(F.concat(F.lit("e"), F.col("j")).alias("feature"), F.abs(half_up(gradient, 4)).alias("gradient"))
+
+
+Q30C = f"SELECT 'e' || j AS feature, CAST(0.0 AS double) AS gradient FROM range({WIDTH}) t(j)"
+
+
 def q31_forest(spark: SparkSession, d: str) -> DataFrame:
     model, rows = fit_forest(spark, d)
     return models.score(model, rows).select("vec_id", "label", "prediction", "score")
@@ -162,15 +188,34 @@ ADDS_UP = "SELECT vec_id, CAST(0.0 AS double) AS gap FROM embeddings"
 def q34_sampled_shap(spark: SparkSession, d: str) -> DataFrame:
     """Model-agnostic attributions."""
     model, rows = fit_logistic(spark, d)
-    background = fixed_sample(rows, BACKGROUND_ROWS, "vec_id")
-    explained = sampled_contributions(rows, model, "vec_id", background, PERMUTATIONS)
+    background = fixed_sample(rows, WALK_PARTNERS, "vec_id")
+    explained, _ = sampled_contributions(rows, model, "vec_id", background)
     return attribution_long(explained, NAMES, ["vec_id"])
 
 
+def q34b_sampled_shap_of_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Sampled attributions of a fixed linear score, which come out the same in any feature order."""
+    rows = vectors(spark, d)
+    background = fixed_sample(rows, WALK_PARTNERS, "vec_id", order=F.expr(sql.number("vec_id")))
+
+    def weigh(mixed: DataFrame) -> DataFrame:
+        terms = F.transform(vector_to_array("features"), lambda x, j: x * (j % 7 - 3) * 0.25)
+        return mixed.withColumn("score", F.aggregate(terms, F.lit(0.0), lambda a, x: a + x))
+
+    explained, _ = sampled_contributions(rows, None, "vec_id", background, scorer=weigh)
+    return attribution_long(explained, NAMES, ["vec_id"]).select("vec_id", "feature", half_up(F.col("phi"), 7).alias("phi"))
+
+
 def q35_attribution_long(spark: SparkSession, d: str) -> DataFrame:
-    model, rows = fit_boosting(spark, d)
-    explained = materialize(tree_contributions(rows, model, ["vec_id"])[0])
-    return beeswarm(explained, NAMES, "vec_id", BEESWARM_FEATURES)
+    """The table behind a summary plot: the most important features of the fixed linear attributions."""
+    long = beeswarm(materialize(_linear(spark, d)), NAMES, "vec_id", BEESWARM_FEATURES)
+    return long.select("vec_id", "feature", "value", *[half_up(F.col(c), 7).alias(c) for c in ("phi", "mean_abs_shap")])
+
+
+Q35 = f"""{UNNESTED}, l AS ({LINEAR}),
+top AS (SELECT j, avg(abs(phi)) AS v FROM l GROUP BY j ORDER BY v DESC, 'e' || j LIMIT {BEESWARM_FEATURES})
+SELECT l.vec_id, 'e' || l.j AS feature, u.x AS value, {sql.rounded('phi', 7)} AS phi, {sql.rounded('v', 7)} AS mean_abs_shap
+FROM l JOIN u ON l.vec_id = u.vec_id AND l.j = u.j JOIN top ON l.j = top.j"""
 
 
 QUERIES = {
@@ -179,18 +224,23 @@ QUERIES = {
     "q27_model_table": q27_model_table,
     "q30_logreg": q30_logreg,
     "q30b_logreg_balance": q30b_logreg_balance,
+    "q30c_logreg_gradient": q30c_logreg_gradient,
     "q31_forest": q31_forest,
     "q32_gbt": q32_gbt,
     "q33_tree_shap": q33_tree_shap,
     "q33b_forest_shap_adds_up": q33b_forest_shap_adds_up,
     "q33c_boosting_shap_adds_up": q33c_boosting_shap_adds_up,
     "q34_sampled_shap": q34_sampled_shap,
+    "q34b_sampled_shap_of_sums": q34b_sampled_shap_of_sums,
     "q35_attribution_long": q35_attribution_long,
 }
 ORACLES = {
     "q23_linear_shap": Q23,
     "q24_topk": Q24,
     "q30b_logreg_balance": Q30B,
+    "q30c_logreg_gradient": Q30C,
     "q33b_forest_shap_adds_up": ADDS_UP,
     "q33c_boosting_shap_adds_up": ADDS_UP,
+    "q34b_sampled_shap_of_sums": _linear_sql(WALK_PARTNERS),
+    "q35_attribution_long": Q35,
 }

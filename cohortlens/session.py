@@ -37,7 +37,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(
-    app: str, cores: str = "*", partitions: int = 8, memory: str = "16g", checkpoint_dir: str | None = None
+    app: str, cores: str = "*", partitions: int = 8, memory: str = "8g", checkpoint_dir: str | None = None
 ) -> SparkSession:
     """A single-machine session for tests and the benchmark; clusters bring their own."""
     builder = (
@@ -87,6 +87,5 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Redistribute rows that sit in fewer partitions than there are cores, before heavy work on them."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Redistribute rows over the cores before heavy work on them, without running anything yet."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

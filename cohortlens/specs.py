@@ -74,7 +74,6 @@ TEST_FRACTION = 0.2
 SEED = 42
 TOP_FEATURES = 15
 BEESWARM_FEATURES = 20
-EXPLAIN_ROWS = 1000
 BACKGROUND_ROWS = 200
 
 DATASET_COLUMNS = (

@@ -102,22 +102,48 @@ def test_linear_values_add_up(spark, rows):
 def test_sampled_values_add_up_and_agree_in_sign_with_linear(spark, rows):
     model = models.logistic_regression(300.0).fit(rows)
     one = rows.orderBy("id").limit(1)
-    explained = sampled_contributions(models.score(model, rows).drop("prediction", "probability", "rawPrediction", "score"),
-                                      model, "id", one, permutations=3).collect()
+    explained, base = sampled_contributions(models.score(model, rows).drop("prediction", "probability", "rawPrediction", "score"),
+                                            model, "id", one, permutations=3)
+    explained = explained.collect()
     scores = {r["id"]: r["score"] for r in models.score(model, rows).collect()}
-    origin = scores[one.first()["id"]]
+    assert base == pytest.approx(scores[one.first()["id"]], abs=1e-12)
     assert len(explained) == 300
     for r in explained:
-        assert sum(r["phi"]) == pytest.approx(scores[r["id"]] - origin, abs=1e-9)
+        assert sum(r["phi"]) == pytest.approx(scores[r["id"]] - base, abs=1e-9)
     slopes, at = model.coefficients.toArray(), one.first()["features"].toArray()
     for r in explained[:50]:
         assert all(p * s * (x - a) >= -1e-12 for p, s, x, a in zip(r["phi"], slopes, r["x"], at))
 
 
+def test_copies_and_null_ids_keep_their_own_values(spark, rows):
+    model = models.logistic_regression(300.0).fit(rows)
+    some = rows.orderBy("id").limit(8)
+    twice = some.union(some).union(some.limit(2).withColumn("id", F.lit(None).cast("int")))
+    single, base = sampled_contributions(some, model, "id", some)
+    double, again = sampled_contributions(twice, model, "id", some)
+    phi = {r["id"]: r["phi"] for r in single.collect()}
+    got = double.collect()
+    assert base == pytest.approx(again) and len(got) == 18
+    assert sum(r["id"] is None for r in got) == 2
+    assert all(r["phi"] == pytest.approx(phi[r["id"]], abs=1e-12) for r in got if r["id"] is not None)
+
+
+def test_the_whole_background_is_met(spark):
+    from pyspark.ml.linalg import Vectors
+
+    background = spark.createDataFrame([(k, Vectors.dense(float(k), 0.0)) for k in range(600)], ["id", "features"])
+    plain = lambda df: df.withColumn("score", vector_to_array("features")[0])
+    one = spark.createDataFrame([(1, Vectors.dense(1000.0, 5.0))], ["id", "features"])
+    explained, base = sampled_contributions(one, None, "id", background, scorer=plain)
+    assert base == pytest.approx(299.5)
+    assert explained.first()["phi"] == pytest.approx([700.5, 0.0])
+
+
 def test_explain_picks_the_method(spark, rows, tree_models):
     lr = models.logistic_regression(300.0).fit(rows)
     for model in (*tree_models.values(), lr):
-        explained = explain(rows, model, "id")
+        explained, base = explain(rows, model, "id")
+        assert isinstance(base, float)
         assert explained.columns == ["id", "x", "phi"] and len(explained.first()["phi"]) == WIDTH
 
 

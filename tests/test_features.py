@@ -1,4 +1,5 @@
 import math
+import shutil
 import statistics
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions import slug
 from cohortlens.operators import ranking
-from cohortlens.operators.encode import feature_names, fit_features, label_encode, ordinal_encode, split_by_type
+from cohortlens.operators.encode import DictionaryEncoder, feature_names, fit_features, label_encode, ordinal_encode, split_by_type
 from cohortlens.operators.ranking import sorted_codes
 from cohortlens.operators.sampling import class_counts, fixed_sample, split_sizes, stratified_split
 from cohortlens.operators.stats import class_weights, distributed_medians, medians, modes, moments
@@ -95,6 +96,19 @@ def test_fitted_features(spark, tmp_path, inline):
         assert got[i] == pytest.approx(v, abs=1e-12)
 
 
+def test_saved_dictionary_lies_in_the_model(spark, tmp_path):
+    """150 categories: the saved model is copied elsewhere and needs nothing but its own folder."""
+    train = spark.createDataFrame([(k, float(k), None, f"c{k % 150:03d}", "p") for k in range(450)], SCHEMA)
+    fitted = fit_features(train, ["n"], ["s"])
+    PipelineModel(stages=fitted.stages).write().overwrite().save(str(tmp_path / "m"))
+    shutil.copytree(tmp_path / "m", tmp_path / "copy")
+    loaded = PipelineModel.load(str(tmp_path / "copy"))
+    encoder = next(s for s in loaded.stages if isinstance(s, DictionaryEncoder))
+    assert str(tmp_path / "copy") in encoder.getOrDefault(encoder.path)
+    codes = {r["s"]: r["features"][1] for r in loaded.transform(train).select("s", "features").collect()}
+    assert codes == {f"c{k:03d}": float(k) for k in range(150)}
+
+
 def test_balanced_weights(spark):
     df = spark.createDataFrame([(0,)] * 30 + [(1,)] * 10, "y int")
     assert class_weights(df, "y") == {0: 40 / 60, 1: 40 / 20}
@@ -120,6 +134,14 @@ def test_split_is_exact_and_independent_of_partitioning(spark):
     assert other.exceptAll(many).count() > 0
 
 
+def test_split_is_exact_on_repeated_and_missing_ids(spark):
+    rows = spark.createDataFrame([(None if k % 5 == 0 else k // 4, k % 2) for k in range(400)], "id int, y int")
+    got = {(r["y"], r["split"]): r["count"] for r in stratified_split(rows, "y", "id").groupBy("y", "split").count().collect()}
+    assert got == {(0, "test"): 40, (0, "train"): 160, (1, "test"): 40, (1, "train"): 160}
+    same = stratified_split(rows.withColumn("id", F.lit(1)), "y", "id").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in same} == {"test": 80, "train": 320}
+
+
 def test_fixed_sample_is_exact_and_reproducible(spark):
     df = spark.range(1000)
     a, b = fixed_sample(df.repartition(3), 100, "id"), fixed_sample(df.repartition(11), 100, "id")

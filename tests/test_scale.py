@@ -130,3 +130,19 @@ def test_vitals_join_broadcasts_only_by_size(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     physical = plan(vitals_first_day(events, base)).split("== Physical Plan ==")[1]
     assert "Broadcast" not in physical
+
+
+def test_spreading_rows_starts_no_job(spark):
+    from cohortlens.session import spread
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("spread", "spread")
+    spread(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+    assert not tracker.getJobIdsForGroup("spread")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_first_rows_read_their_input_twice(spark):
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    plan = first_per_group(df, "o_custkey", "o_orderkey")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2

@@ -42,6 +42,11 @@ def test_reports(spark, out):
     rows = spark.read.parquet(f"{out}/dataset").count()
     classes = spark.read.csv(f"{out}/reports/class_distribution", header=True, inferSchema=True).collect()
     assert sum(r["n"] for r in classes) == rows
+    counted = {r["table"]: r["n"] for r in spark.read.csv(f"{out}/reports/rows", header=True, inferSchema=True).collect()}
+    assert counted.pop("dataset") == counted["cohort"] == rows
+    assert counted == {name: spark.read.parquet(f"{out}/{name}").count() for name in counted} and len(counted) == 4
+    report = spark.read.csv(f"{out}/class_report_random_forest", header=True, inferSchema=True).collect()
+    assert [r["class"] for r in report] == ["0", "1", "accuracy", "macro avg", "weighted avg"]
     outcome = spark.read.csv(f"{out}/reports/outcome_rate", header=True, inferSchema=True).collect()
     assert sum(r["total"] for r in outcome) == rows
 
@@ -61,7 +66,8 @@ def test_models_and_explanation(spark, out):
 def test_whole_dataset_can_be_explained(spark, out):
     dataset = spark.read.parquet(f"{out}/dataset")
     best = PipelineModel.load(f"{out}/best_model")
-    explained = explaining.explain_pipeline(best, dataset, rows=None)
+    explained = explaining.explain_pipeline(best, dataset)
+    assert isinstance(explained.base, float)
     assert explained.rows.count() == dataset.count()
 
 
