@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
+from unicodedata import is_normalized
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -26,7 +28,10 @@ LENGTH = 4096
 UNIT = 32  # tokens in a class of orders
 SHARES = 64  # parts by hash, the first of which serve as filling
 END_ID = 2
-HELD_WORDS = 500_000  # encoded words that a worker keeps from batch to batch
+SPACED = np.arange(256, dtype=np.uint8)
+SPACED[[9, 10, 13]] = 0x20
+STOPS, LETTERS = (np.isin(np.arange(256), list(some)) for some in (b".,", b"abcdefghijklmnopqrstuvwxyz"))
+HELD_WORDS = 100_000  # encoded words that a worker keeps besides those of the last chunk
 
 
 def default_tokenizer() -> str:
@@ -37,36 +42,65 @@ def default_tokenizer() -> str:
 
 class Words:
     """Token ids of texts, found once for each distinct run between ASCII spaces: the tokenizer drops
-    white space and merges nothing across it."""
+    white space and merges nothing across it, nor between a letter and a stop. A-Z are folded before, as
+    it would do itself, unless the text might spell a special token."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.held = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        # The tokenizer's byte alphabet: printable bytes stand for themselves, the others for 256 and on.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = iter(range(256, 512))
+        self.alphabet = {b: b if b in shown else next(hidden) for b in range(256)}
+        self.often, self.last = {}, {}  # what two chunks in a row had, and what the last one had
+
+    def spelled(self, distinct: list[str]) -> list[bytes]:
+        often, last, here = self.often, self.last, {}
+        new, merge = [], self.tokenizer.model.tokenize
+        for w in distinct:
+            known = often.get(w)
+            if known is None:
+                known = last.get(w)
+                if known is not None and len(often) < HELD_WORDS:
+                    often[w] = known
+            if known is None:
+                plain = w.lstrip(" ")
+                if plain.isalpha() and plain.lower() == plain and is_normalized("NFC", plain):
+                    # A word of letters is cut no further: only its merges are left to do.
+                    known = array("I", [t.id for t in merge(plain.encode().decode("latin-1").translate(self.alphabet))]).tobytes()
+                else:
+                    new.append(w)
+            here[w] = known
+        for k in range(0, len(new), 10_000):
+            found = self.tokenizer.encode_batch_fast(new[k : k + 10_000], add_special_tokens=False)
+            here.update((w, array("I", e.ids).tobytes()) for w, e in zip(new[k : k + 10_000], found))
+        self.last = here
+        return list(here.values())
 
     def ids(self, some: list[str]):
         """Flat ids of all texts, each followed by the end id, and the number of ids of each text."""
         import pyarrow as pa
 
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in some]
-        per_text = np.fromiter(map(len, split), np.int64, len(split))
-        words = pa.array([w for s in split for w in (*s, None)], pa.string()).dictionary_encode(null_encoding="mask")
-        distinct = words.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.held]
-        if len(self.held) + len(new) > HELD_WORDS:
-            self.held.clear()
-            new = distinct
-        for k in range(0, len(new), 10_000):
-            found = self.tokenizer.encode_batch(new[k : k + 10_000], add_special_tokens=False)
-            self.held.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(new[k : k + 10_000], found))
-        spelled = [self.held[w] for w in distinct] + [np.array([END_ID], np.uint32).tobytes()]
+        bodies = [t.encode("utf-8", "replace") for t in some]
+        bodies = [b" " + (b if b"<|" in b else b.lower()) for b in bodies]
+        ends = np.cumsum([len(b) for b in bodies])
+        data = np.frombuffer(b"".join(bodies), np.uint8)
+        data = SPACED[data]
+        starts = np.zeros(len(data) + 1, bool)
+        starts[1:-1] = (data[1:] == 0x20) & (data[:-1] != 0x20) | STOPS[data[1:]] & LETTERS[data[:-1]]
+        starts[0] = starts[-1] = True
+        starts[ends] = True
+        offset = np.flatnonzero(starts)
+        words = pa.StringArray.from_buffers(len(offset) - 1, pa.py_buffer(offset.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        spelled = self.spelled(words.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(spelled), np.uint32)
-        count = np.array([len(b) // 4 for b in spelled], np.int64)
-        index = words.indices.fill_null(len(distinct)).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(per_text + 1)
-        reached = np.r_[0, np.cumsum(count[index])][np.r_[0, ends]]
-        return ragged(flat, (np.cumsum(count) - count)[index], count[index]), np.diff(reached)
+        count = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
+        index = words.indices.to_numpy(zero_copy_only=False)
+        own = ragged(flat, (np.cumsum(count) - count)[index], count[index])
+        reached = np.r_[0, np.cumsum(count[index])][np.searchsorted(offset, ends)]
+        return np.insert(own, reached, END_ID), np.diff(np.r_[0, reached]) + 1
 
 
 def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
