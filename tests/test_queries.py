@@ -12,7 +12,7 @@ from oracle import connect, difference
 SF = "/root/testdata/sf0.001"
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "string": "VARCHAR",
-    "timestamp_ntz": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 
