@@ -9,29 +9,39 @@ from pyspark.sql import DataFrame, functions as F
 from .ranking import SLICE_ROWS, running_totals
 from .sampling import class_counts, per_class
 
-# Rows times columns up to which the built-in exact median, which keeps every distinct value in
-# one buffer, is used.
-BUFFERED_VALUES = 2_000_000
+# Ranks are estimated with an error of 1 / ACCURACY of the rows; a bracket of twice that holds the median.
+ACCURACY = 10_000
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact interpolated median per column, None for a column without values."""
     if not columns:
         return {}
-    if df.count() * len(columns) <= BUFFERED_VALUES:
-        row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns]).first()
-        return {c: row[c] for c in columns}
     found = {r["column"]: r["median"] for r in distributed_medians(df, columns).collect()}
     return {c: found.get(c) for c in columns}
 
 
 def distributed_medians(df: DataFrame, columns: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """(column, median) found by running counts over the distinct values of each column."""
+    """(column, median) in two passes over the data.
+
+    The first brackets every median between two estimated quantiles. The second counts the values below
+    each bracket and, per distinct value, those inside, which are few; running counts over these find
+    the one or two middle values exactly.
+    """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    around = F.array(*[F.lit(0.5 + side * 2 / ACCURACY) for side in (-1, 1)])
+    brackets = doubles.agg(*[F.approx_percentile(c, around, ACCURACY).alias(c) for c in columns]).first()
+    known = [c for c in columns if brackets[c]]
+    # What lies below or above a bracket is counted as one value.
+    placed = [
+        F.when(F.col(c) < F.lit(brackets[c][0]), F.lit(float("-inf")))
+        .when(F.col(c) > F.lit(brackets[c][1]), F.lit(float("inf"))).otherwise(F.col(c)).alias(c)
+        for c in known
+    ]
     counted = (
-        doubles.unpivot([], list(columns), "column", "value").where("value IS NOT NULL")
+        doubles.select(*placed).unpivot([], known, "column", "value").where("value IS NOT NULL")
         .groupBy("column", "value").agg(F.count("*").alias("n"))
-    )
+    ) if known else df.sparkSession.createDataFrame([], "column string, value double, n long")
     ranks = running_totals(counted, "value", ["n"], within=["column"], slice_rows=slice_rows)
     # Ranks (from 1) of the one or two middle values.
     low = F.floor((F.col("total_n") + 1) / 2)
