@@ -13,7 +13,6 @@ from ..session import materialize
 # Up to this many rows, proven by a count, one sorted task is the cheapest way to number them.
 ONE_TASK_ROWS = 1_000_000
 SLICE_ROWS = 100_000
-MAX_SLICES = 10_000
 
 
 def running_totals(
@@ -28,8 +27,8 @@ def running_totals(
 
     ``df`` must be unique on (within, order), so aggregate ties first. It is written out once, since
     three steps read it: the order column is cut at its own quantiles into slices of about
-    ``slice_rows`` rows; sums run inside a slice; and the totals of earlier slices, a table of at most
-    ``MAX_SLICES`` rows per group, are added to them. No task sees more than one slice, whatever the
+    ``slice_rows`` rows; sums run inside a slice; and the totals of earlier slices, a table of one row
+    per slice and group, are added to them. No task sees more than one slice, whatever the
     distribution of the values.
     """
     stored = materialize(df)
@@ -56,7 +55,7 @@ def running_totals(
 
 def _sliced(df: DataFrame, order: str, slice_rows: int) -> DataFrame:
     """Add ``_slice``, the number of the quantile range the order column falls into."""
-    slices = min(MAX_SLICES, -(-df.count() // slice_rows))
+    slices = -(-df.count() // slice_rows)
     if slices <= 1:
         return df.withColumn("_slice", F.lit(0.0))
     cuts = [i / slices for i in range(1, slices)]
