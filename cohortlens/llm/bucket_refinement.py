@@ -281,7 +281,10 @@ def _alone(names):
     """A sorted order of ``names`` and which of them, in that order, have an equal one."""
     order = np.argsort(names)
     equal = names[order][1:] == names[order][:-1]
-    return order, np.r_[False, equal] | np.r_[equal, False]
+    same = np.zeros(len(names), bool)
+    same[1:] |= equal
+    same[:-1] |= equal
+    return order, same
 
 
 def _windows_counted(contexts: DataFrame) -> DataFrame:

@@ -152,3 +152,24 @@ def test_repeats(make, limit):
 
 def test_repeats_of_nothing(make):
     assert remove_repeats(make([])).count() == 0
+
+
+@pytest.mark.parametrize("pairs, shared, alone", [(10, 200, 700), (1, 200, 700), (800, 120, 330)])
+def test_anchors_that_share_less_than_a_window(make, pairs, shared, alone):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh é\n") for _ in range(n))
+    heads = [text(shared)] * pairs if shared == 120 else [text(shared) for _ in range(pairs)]
+    rows = [(2 * k + j, (text(alone) if shared == 200 else "") + head + text(alone)) for k, head in enumerate(heads) for j in (0, 1)]
+    got = Counter(tuple(r) for r in remove_repeats(make(rows)).collect())
+    assert got == brute_repeats(rows)
+
+
+def test_refinement_that_no_window_survives():
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n)).encode()
+    for shared in (64, 127, 130, 200, 300, 399):
+        middle = text(shared)
+        bodies = [text(336) + middle + text(336) for _ in range(2)]
+        row, start, end = bucket_refinement.refine(np.zeros(2, int), np.zeros(2, bool), np.full(2, 336), np.full(2, 336), bodies)
+        assert len(row) == len(start) == len(end) == 0
+    assert len(bucket_refinement._alone(np.zeros(0, np.uint64))[0]) == 0
