@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # The class a missing value gets when a text column is label-encoded.
@@ -14,5 +16,5 @@ def seeded_hash(seed: int, *ids: str) -> Column:
 
 
 def slug(name: str) -> str:
-    """Artifact-friendly form of a model name."""
-    return "_".join(name.lower().split(" "))
+    """A name for files: lower-case letters and digits, one underscore for every run of anything else between them."""
+    return re.sub(r"[\W_]+", "_", name.lower()).strip("_")

@@ -151,3 +151,4 @@ def test_fixed_sample_is_exact_and_reproducible(spark):
 
 def test_slug():
     assert slug("Gradient Boosting") == "gradient_boosting"
+    assert slug("  A--b  (c) ") == "a_b_c" and slug("Éa_1") == "éa_1" and slug("...") == ""
