@@ -7,39 +7,47 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlens.llm.common import documents, labels, prepare
 from cohortlens.llm.content_sort import keep_last
 from cohortlens.llm.feistel_pii import replace_personal_data
-from cohortlens.llm.shingle_join import keep_one
+from cohortlens.llm.simhash_vp import keep_one
 from cohortlens.llm.stock_packing import pack
 from cohortlens.llm.toxic_grammar import reject_toxic
 from cohortlens.session import configure, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity grammar does not reject; it learns from the labels of this very input."""
+    """Documents that the toxicity grammar does not reject; it learns from the labels of this very input.
+
+    All columns of ``docs`` come back; a null text is judged as an empty one; an empty table stays empty."""
     prepare(spark)
     return reject_toxic(docs, labels(spark, sf_dir))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the largest doc_id, of those whose texts are equal but for the case of A-Z."""
+    """One document, the one with the largest doc_id, of those whose texts are equal but for the case of A-Z.
+
+    A null text equals an empty one, a null doc_id is the smallest; of rows that repeat doc_id and text one stays."""
     prepare(spark)
     return keep_last(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group of texts whose five-word shingles are
-    similar to 0.8 or more."""
+    """One document, the one with the smallest doc_id, of each group of texts whose fingerprints of three-word
+    shingles are linked by steps of at most two bits.
+
+    A null or wordless text has fingerprint 0 and is linked like any other; a null doc_id is the smallest."""
     prepare(spark)
     return keep_one(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in their texts replaced by pseudonyms of the same format."""
+    """All documents, personal data in their texts replaced by pseudonyms of the same format.
+
+    Null and empty texts stay as they are; n_chars follows the new text."""
     prepare(spark)
-    return replace_personal_data(docs).drop("n_items")
+    return replace_personal_data(docs, counted=None)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in training sequences."""
+    """The pieces of all documents in training sequences; a null text is empty and packed as its end id."""
     prepare(spark)
     return pack(docs)
 
