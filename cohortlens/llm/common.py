@@ -50,6 +50,17 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
     return [F.coalesce(doc_id, F.lit(-1 << 63)).alias("key_id"), F.xxhash64(text).alias("key_text")]
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it differ from every column of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def per_worker(name: str, make: Callable):
     """``make()`` once in each Python worker process, which runs many tasks."""
     held = sys.modules.setdefault("_cohortlens_worker", types.ModuleType("_cohortlens_worker"))

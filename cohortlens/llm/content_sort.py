@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize
-from .common import documents, fold, task_id, texts
+from .common import documents, fold, free_names, task_id, texts
 
 HEAD_BYTES = 24
 RUNS = (
@@ -53,13 +53,14 @@ def content_sort(docs: DataFrame) -> DataFrame:
 
 def keep_last(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, but one only of each group of equal texts: the one with
-    the largest doc_id; of rows that repeat both text and doc_id any one stays."""
-    least = F.lit(-1 << 63)
-    found = content_sort(docs).where("kept").select(F.coalesce("doc_id", least).alias("_id"), F.col("text_sha256").alias("_sha"))
+    the largest doc_id; of rows that repeat both text and doc_id any one stays. Null texts are empty, a null
+    doc_id is the smallest, columns of any other name come back untouched, an empty table gives none."""
+    least, names = F.lit(-1 << 63), free_names(docs, "id", "sha")
+    found = content_sort(docs).where("kept").select(F.coalesce("doc_id", least).alias(names[0]), F.col("text_sha256").alias(names[1]))
     body = F.sha2(fold(F.coalesce("text", F.lit(""))).cast("binary"), 256)
-    marked = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), least), "_sha": body})
+    marked = docs.withColumns({names[0]: F.coalesce(F.col("doc_id").cast("long"), least), names[1]: body})
     # The join has dealt the rows by these columns already.
-    return marked.join(found, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"]).drop("_id", "_sha")
+    return marked.join(found, names, "left_semi").dropDuplicates(names).drop(*names)
 
 
 def _neighbours(batches):

@@ -20,7 +20,7 @@ from datetime import date, timedelta
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, texts
+from .common import documents, free_names, texts
 
 KEY = b"change this key: whoever has it can undo the pseudonyms"
 ROUNDS = 8
@@ -256,17 +256,22 @@ def replacer(key: bytes = KEY):
     return replaced
 
 
-def replace_personal_data(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """The rows of ``docs``, all columns kept, with identifiers in ``text`` replaced and ``n_items`` added.
+def replace_personal_data(docs: DataFrame, key: bytes = KEY, counted: str | None = "n_items") -> DataFrame:
+    """The rows of ``docs``, all columns kept, with identifiers in ``text`` replaced and their number as ``counted``.
 
     Null and empty texts stay as they are; rows come back as they went in, equal ones equal; an empty
-    table gives none. ``n_chars``, where there is one, follows the new text.
+    table gives none. ``n_chars``, where there is one, follows the new text. A column that has the name
+    ``counted`` already is an error; None adds no column.
     """
-    found = docs.withColumn("_found", replacer(key)(F.col("text")))
-    new = {"text": F.col("_found.text"), "n_items": F.coalesce(F.col("_found.n_items"), F.lit(0).cast("long"))}
+    if counted in docs.columns:
+        raise ValueError(f"the input has a column {counted}: name another for the count")
+    [name] = free_names(docs, "found")
+    found = docs.withColumn(name, replacer(key)(F.col("text")))
+    n_items = F.coalesce(F.col(f"{name}.n_items"), F.lit(0).cast("long"))
+    new = {"text": F.col(f"{name}.text")} | ({counted: n_items} if counted else {})
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_found.n_items") > 0, F.length("_found.text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns(new).drop("_found")
+        new["n_chars"] = F.when(n_items > 0, F.length(f"{name}.text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumns(new).drop(name)
 
 
 def query(spark: SparkSession, d: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import materialize
-from .common import documents, row_key, texts
+from .common import documents, free_names, row_key, texts
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 SAMPLE = 100_000  # fingerprints at most, about, from which the upper tree is grown
@@ -75,15 +75,17 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs``, with all their columns, but one only of each group of near duplicates.
 
     The row with the smallest (doc_id, hash of the text) stays; rows equal in both stay together, so
-    exact copies of a row should have been removed before. A null doc_id counts as the smallest.
+    exact copies of a row should have been removed before. A null doc_id counts as the smallest, a null
+    or wordless text has fingerprint 0, and columns of any other name come back untouched. An empty
+    table gives an empty result.
     """
     key = row_key(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
     marked = materialize(docs.select(*key, F.col("doc_id").cast("long").alias("doc_id"), fingerprint(F.col("text")).alias("fp")))
     named = links(marked.select("fp"), radius)
     grouped = marked.join(named, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     stay = grouped.groupBy("root").agg(F.min(F.struct("key_id", "key_text")).alias("stays")).select("stays.*")
-    stay = stay.toDF("_key_id", "_key_text")
-    return docs.withColumns({"_key_id": key[0], "_key_text": key[1]}).join(stay, stay.columns, "left_semi").drop(*stay.columns)
+    names = free_names(docs, "key_id", "key_text")
+    return docs.withColumns(dict(zip(names, key))).join(stay.toDF(*names), names, "left_semi").drop(*names)
 
 
 def components(marked: DataFrame, radius: int = RADIUS) -> DataFrame:

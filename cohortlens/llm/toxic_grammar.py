@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialize
-from .common import documents, labels, remainder, texts
+from .common import documents, free_names, labels, remainder, texts
 from .learning import THRESHOLD, Logistic, labelled_sample
 
 FOLDS, HELD_OUT = 3, 1
@@ -210,9 +210,13 @@ def toxicity(docs: DataFrame, known: DataFrame, rows: int = TRAIN_ROWS) -> DataF
 
 
 def reject_toxic(docs: DataFrame, known: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are not predicted toxic."""
-    score = scorer(*fit(docs, known, rows))
-    return docs.withColumn("_toxic_score", score(F.col("text"))).where(F.col("_toxic_score") < THRESHOLD).drop("_toxic_score")
+    """The rows of ``docs``, with all their columns of whatever name, that are not predicted toxic.
+
+    A null text is scored as an empty one; repeated rows stay or go together; without labels or on an
+    empty table the curve is the one that ``fit`` gives for no rows.
+    """
+    score, [name] = scorer(*fit(docs, known, rows)), free_names(docs, "toxic_score")
+    return docs.withColumn(name, score(F.col("text"))).where(F.col(name) < THRESHOLD).drop(name)
 
 
 def query(spark: SparkSession, d: str) -> DataFrame:

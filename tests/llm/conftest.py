@@ -14,7 +14,7 @@ def make(spark):
         rows = [(i, t, None, "s", len(t) if t is not None else None) for i, t in pairs]
         df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
         if clash:
-            df = df.selectExpr("*", "1 AS part", "'x' AS body", "2 AS fp", "3 AS n", "'y' AS key_id", "4 AS score", "5 AS keep_id", "6 AS at", "7 AS word", "8 AS label")
+            df = df.selectExpr("*", "1 AS part", "'x' AS body", "2 AS fp", "3 AS n", "'y' AS key_id", "4 AS score", "5 AS keep_id", "6 AS at", "7 AS word", "8 AS label", "9 AS found", "10 AS _found", "11 AS id", "12 AS _id", "13 AS sha", "14 AS _sha", "15 AS key_text", "16 AS _key_id", "17 AS toxic_score", "18 AS _toxic_score")
         return df
 
     return build
