@@ -13,8 +13,8 @@ quadrature with ceil(m / 2) nodes gives it without error, for all rows of a batc
 
 from __future__ import annotations
 
+import pickle
 import sys
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,19 +22,15 @@ from pyspark import cloudpickle
 from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassificationModel, GBTClassificationModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import shared_dir
+from ..session import materialize, shared_dir
+from .meeting import meet
 
 TREE_MODELS = (GBTClassificationModel, RandomForestClassificationModel, DecisionTreeClassificationModel)
 
-LEAF_SCHEMA = (
-    "tree int, value double, features array<int>, low array<double>, high array<double>, share array<double>"
-)
 # Rows times leaves handled in one numpy step; keeps a step's arrays within a few tens of MB.
 CELLS = 200_000
-# From so many rows on, looping over leaves costs less than the arithmetic it saves.
-MANY_ROWS = 256
 
 
 # Leaves whose paths test the same number m of distinct features: values (leaves,), then features,
@@ -80,9 +76,23 @@ def node_table(spark: SparkSession, model: Model) -> DataFrame:
     )
 
 
-def leaf_table(nodes: DataFrame) -> DataFrame:
-    """One row per leaf with the merged conditions of its path; each task unfolds single trees."""
-    return nodes.groupBy("tree").applyInPandas(_unfold, LEAF_SCHEMA)
+def packed_leaves(nodes: DataFrame) -> DataFrame:
+    """(part, packed, base) for each tree: its leaves as arrays, and its expected output. Each task unfolds single trees."""
+
+    def pack(tree: pd.DataFrame) -> pd.DataFrame:
+        groups = group_leaves(_unfold(tree))
+        return pd.DataFrame([{"part": tree["tree"].iloc[0], "packed": pickle.dumps(groups), "base": base_value(groups)}])
+
+    return nodes.groupBy("tree").applyInPandas(pack, "part long, packed binary, base double")
+
+
+def merged_leaves(packed: list[bytes]) -> list[LeafGroup]:
+    """The leaves of several trees, those of equally many features together."""
+    together: dict[int, list[LeafGroup]] = {}
+    for tree in packed:
+        for group in pickle.loads(tree):
+            together.setdefault(group[1].shape[1], []).append(group)
+    return [tuple(np.concatenate(arrays) for arrays in zip(*groups)) for groups in together.values()]
 
 
 def _unfold(tree: pd.DataFrame) -> pd.DataFrame:
@@ -130,7 +140,7 @@ def contributions(groups: list[LeafGroup], x: np.ndarray) -> np.ndarray:
     phi = np.zeros((width, rows))
     for group in groups:
         m = group[1].shape[1]
-        by_pattern = m < 31 and max(MANY_ROWS, 1 << m) < rows
+        by_pattern = m < 31 and 1 << m < rows
         step = max(1, CELLS // max(1, rows))
         for at in range(0, len(group[0]) if m else 0, step):
             value, features, low, high, share = (a[at : at + step] for a in group)
@@ -176,24 +186,59 @@ def _terms(met: list[np.ndarray], value: np.ndarray, share: np.ndarray) -> list[
 
 
 def tree_contributions(
-    df: DataFrame, model: Model, keep: list[str], features: str = "features"
+    df: DataFrame, model: Model | DataFrame, keep: list[str], features: str = "features"
 ) -> tuple[DataFrame, float]:
     """(``keep`` columns, x, phi) per row, and the base value.
 
-    Values explain the positive class: log-odds for boosting, probability for a forest. The leaf
-    table, bounded by trees x 2^depth of the model and independent of the data, is sent to the
-    executors once; rows stream through in Arrow batches without any shuffle.
+    Values explain the positive class: log-odds for boosting, probability for a forest. Instead of a
+    model its ``node_table`` may be given, or one of the same columns. Trees are packed where their nodes
+    are, and rows meet them by key (``meeting.meet``): no tree passes through the driver.
+    """
+    packed = materialize(packed_leaves(_nodes(df, model)))
+    base = packed.agg(F.coalesce(F.sum("base"), F.lit(0.0))).first()[0]
+    rows = df.select(*keep, vector_to_array(features).alias("x"))
+    return meet(rows, packed, merged_leaves, lambda groups, x, _: contributions(groups, x), "phi"), base
+
+
+def tree_scores(df: DataFrame, model: Model | DataFrame, keep: list[str], features: str = "features") -> DataFrame:
+    """(``keep`` columns, total): the sum of the values of the leaves that a row reaches, one in each tree.
+
+    For a forest that is the positive class' probability, for boosting its log-odds.
     """
-    spark = df.sparkSession
-    groups = group_leaves(leaf_table(node_table(spark, model)).toPandas())
-    shipped = spark.sparkContext.broadcast(groups)
+
+    def pack(tree: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([{"part": tree["tree"].iloc[0], "packed": pickle.dumps(walkable(tree))}])
+
+    def total(trees: list[Walkable], x: np.ndarray, _) -> np.ndarray:
+        return sum((reached(tree, x) for tree in trees), np.zeros(len(x)))[:, None]
+
+    packed = _nodes(df, model).groupBy("tree").applyInPandas(pack, "part long, packed binary")
     rows = df.select(*keep, vector_to_array(features).alias("x"))
+    met = meet(rows, packed, lambda trees: [pickle.loads(t) for t in trees], total, "totals")
+    return met.select(*keep, F.col("totals")[0].alias("total"))
+
+
+def _nodes(df: DataFrame, model: Model | DataFrame) -> DataFrame:
+    return model if isinstance(model, DataFrame) else node_table(df.sparkSession, model)
+
+
+# Left and right child (-1 at a leaf), feature, threshold and value of each node; the root comes first.
+Walkable = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def walkable(tree: pd.DataFrame) -> Walkable:
+    """A tree's nodes by position instead of by name."""
+    tree = tree.sort_values("id")
+    place = {i: k for k, i in enumerate(tree["id"])} | {-1: -1}
+    left, right = (tree[c].map(place).to_numpy(int) for c in ("left", "right"))
+    return left, right, tree["feature"].to_numpy(int), tree["threshold"].fillna(0.0).to_numpy(float), tree["value"].to_numpy(float)
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                phi = contributions(shipped.value, np.array(batch["x"].tolist(), dtype=float))
-                yield batch.assign(phi=list(phi))
 
-    schema = T.StructType([*rows.schema.fields, T.StructField("phi", T.ArrayType(T.DoubleType()))])
-    return rows.mapInPandas(explain, schema), base_value(groups)
+def reached(tree: Walkable, x: np.ndarray) -> np.ndarray:
+    """The value of the leaf that each row reaches; all rows go down one level at a time."""
+    left, right, feature, threshold, value = tree
+    node, going = np.zeros(len(x), int), np.arange(len(x))
+    while len(going := going[left[node[going]] >= 0]):
+        at = node[going]
+        node[going] = np.where(x[going, feature[at]] <= threshold[at], left[at], right[at])
+    return value[node]

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A split hot key may need one more exchange behind the join; that is cheaper than one hot task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Python workers get batches of bounded size, whatever a row holds.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 
