@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
+import sys
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -12,10 +17,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import seeded_hash
 from ..session import materialize, spread
 from ..specs import BACKGROUND_ROWS, SEED
+from .meeting import meet
 from .models import score
 from .ranking import top_k
 from .sampling import fixed_sample
 from .tree_shap import TREE_MODELS, tree_contributions
+from .walks import ArrayScorer, array_scorer, walk
+
+BLOCK_ROWS = 4096  # background rows in a block
+
+# What runs in tasks travels by value; the package need not be installed on executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def feature_stages(pipeline: PipelineModel) -> PipelineModel:
@@ -56,6 +68,7 @@ def sampled_contributions(
     features: str = "features",
     seed: int = SEED,
     scorer: Callable[[DataFrame], DataFrame] | None = None,
+    arrays: ArrayScorer | None = None,
 ) -> tuple[DataFrame, float]:
     """(row_id, x, phi) for any model with a probability, by permutation sampling, and the base value.
 
@@ -63,15 +76,53 @@ def sampled_contributions(
     by one from the background's to the row's value; each switch's change of the score belongs to that
     feature. Every row meets every background row equally often, and at least ``permutations`` walks
     are made: the work is rows x background x (features + 1) scores, so choose the background's size.
-    All mixed vectors are scored in one pass; each adds its score to the feature switched last and
-    takes it from the feature switched next, so the walk needs neither ordering nor a window, and the
-    sums are combined before the shuffle.
 
     The sum of a row's values is its score minus the base value, the mean score of the background.
     Copies of a row, also under one ``row_id`` or a null one, each get the row's own values. ``scorer``
-    adds ``score`` to a table with ``features``, if it is not the model's probability.
+    adds ``score`` to a table with ``features``, ``arrays`` scores a matrix of rows, if it is not the
+    model's probability. Where scores can be had from arrays, which holds for the models that
+    ``walks.array_scorer`` knows, rows walk inside tasks; else Spark scores a table of mixed vectors.
     """
+    arrays = arrays or (array_scorer(model) if scorer is None else None)
+    if arrays is not None:
+        return _walked(df, row_id, background, permutations, features, seed, arrays)
     scorer = scorer or (lambda mixed: score(model, mixed))
+    return _scored_by_spark(df, row_id, background, permutations, features, seed, scorer)
+
+
+def _walked(
+    df: DataFrame, row_id: str, background: DataFrame, permutations: int, features: str, seed: int, arrays: ArrayScorer
+) -> tuple[DataFrame, float]:
+    """Blocks of the background meet the rows by key; what the blocks add is summed."""
+    stored = materialize(background.select(F.col(row_id).alias("_id"), vector_to_array(features).alias("x")))
+    count = stored.count()
+    if not count:
+        raise ValueError("sampled attributions need a background")
+    blocks = F.pmod(F.xxhash64("_id", "x"), F.lit(-(-count // BLOCK_ROWS))).alias("part")
+
+    def pack(block: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(block["x"].tolist(), dtype=float)
+        x = x[np.lexsort(x.T[::-1])] if x.size else x
+        return pd.DataFrame([{"part": block["part"].iloc[0], "packed": pickle.dumps(x), "score": arrays(x).sum()}])
+
+    packed = materialize(stored.select(blocks, "_id", "x").groupBy("part").applyInPandas(pack, "part long, packed binary, score double"))
+    base = packed.agg(F.sum("score")).first()[0] / count
+    rounds = -(-permutations // count)
+    rows = df.select(F.col(row_id), vector_to_array(features).alias("x"), F.xxhash64(F.col(row_id), F.lit(seed)).alias("_seed"))
+
+    def work(others: np.ndarray, x: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+        return walk(arrays, others, x, seeds, rounds, rounds * count)
+
+    return meet(rows, packed, lambda some: np.vstack([pickle.loads(b) for b in some]), work, "phi"), base
+
+
+def _scored_by_spark(
+    df: DataFrame, row_id: str, background: DataFrame, permutations: int, features: str, seed: int,
+    scorer: Callable[[DataFrame], DataFrame],
+) -> tuple[DataFrame, float]:
+    """All mixed vectors are scored in one pass; each adds its score to the feature switched last and takes it
+    from the feature switched next, so the walk needs neither ordering nor a window, and the sums are
+    combined before the shuffle."""
     partners = _numbered_background(background, row_id, features)
     count, size = partners.agg(F.count("*"), F.max(F.size("_other"))).first()
     if not count:

@@ -6,8 +6,9 @@ checked return an identity of the method, or apply the method to coefficients th
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import half_up
 from ..operators import models
@@ -17,8 +18,9 @@ from ..operators.attribution import (
 from ..operators.metrics import evaluate
 from ..operators.ranking import top_ranked
 from ..operators.sampling import fixed_sample, stratified_split
+from ..operators.splits import best_split
 from ..operators.stats import class_weights, with_weights
-from ..operators.tree_shap import tree_contributions
+from ..operators.tree_shap import node_table, tree_contributions, tree_scores
 from ..session import materialize
 from ..specs import BACKGROUND_ROWS, BEESWARM_FEATURES, TOP_FEATURES
 from . import sql
@@ -28,8 +30,6 @@ WIDTH = 64
 NAMES = [f"e{j}" for j in range(WIDTH)]
 # The vectors have ten classes; the upper half is the positive one.
 POSITIVE_FROM = 5
-# Every row meets each of them: rows x partners x (features + 1) scores.
-WALK_PARTNERS = 20
 
 
 def vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -78,18 +78,12 @@ def _linear(spark: SparkSession, d: str) -> DataFrame:
 LINEAR = f"""SELECT u.vec_id, u.j, (x - mean) * ((u.j % 7 - 3) * 0.25) AS phi FROM u JOIN m USING (j)"""
 
 
-def _unnested(background: int) -> str:
-    return f"""WITH u AS (SELECT vec_id, unnest(range({WIDTH})) AS j, CAST(unnest(embedding) AS double) AS x FROM embeddings),
-b AS (SELECT vec_id FROM embeddings ORDER BY {sql.number('vec_id')}, vec_id LIMIT {background}),
+UNNESTED = f"""WITH u AS (SELECT vec_id, unnest(range({WIDTH})) AS j, CAST(unnest(embedding) AS double) AS x FROM embeddings),
+b AS (SELECT vec_id FROM embeddings ORDER BY {sql.number('vec_id')}, vec_id LIMIT {BACKGROUND_ROWS}),
 m AS (SELECT j, avg(x) AS mean FROM u JOIN b USING (vec_id) GROUP BY j)"""
 
 
-def _linear_sql(background: int) -> str:
-    return f"{_unnested(background)} SELECT vec_id, 'e' || j AS feature, {sql.rounded('phi', 7)} AS phi FROM ({LINEAR})"
-
-
-UNNESTED = _unnested(BACKGROUND_ROWS)
-Q23 = _linear_sql(BACKGROUND_ROWS)
+Q23 = f"{UNNESTED} SELECT vec_id, 'e' || j AS feature, {sql.rounded('phi', 7)} AS phi FROM ({LINEAR})"
 
 
 def q24_topk(spark: SparkSession, d: str) -> DataFrame:
@@ -117,9 +111,21 @@ def q27_model_table(spark: SparkSession, d: str) -> DataFrame:
     return performance
 
 
+def _scored_alike(rows: DataFrame, own: Column) -> DataFrame:
+    """Per row how far the model's score and class are from those computed here."""
+    right = (F.col("prediction") == (own > 0.5).cast("double")) | (F.abs(own - 0.5) < 1e-9)
+    return rows.select("vec_id", "label", F.abs(half_up(F.col("score") - own, 9)).alias("gap"), right.alias("class_agrees"))
+
+
+SCORED_ALIKE = f"SELECT vec_id, CAST(label >= {POSITIVE_FROM} AS integer) AS label, CAST(0.0 AS double) AS gap, true AS class_agrees FROM embeddings"
+
+
 def q30_logreg(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of the fitted model against the logistic function of its coefficients."""
     model, rows = fit_logistic(spark, d)
-    return models.score(model, rows).select("vec_id", "label", "prediction", "score")
+    terms = F.zip_with(vector_to_array("features"), F.array(*[F.lit(float(c)) for c in model.coefficients]), lambda x, c: x * c)
+    margin = F.aggregate(terms, F.lit(float(model.intercept)), lambda a, t: a + t)
+    return _scored_alike(models.score(model, rows), 1 / (1 + F.exp(-margin)))
 
 
 def q30b_logreg_balance(spark: SparkSession, d: str) -> DataFrame:
@@ -149,13 +155,42 @@ Q30C = f"SELECT 'e' || j AS feature, CAST(0.0 AS double) AS gradient FROM range(
 
 
 def q31_forest(spark: SparkSession, d: str) -> DataFrame:
+    """The forest's probabilities against walks down the trees of its node table."""
     model, rows = fit_forest(spark, d)
-    return models.score(model, rows).select("vec_id", "label", "prediction", "score")
+    walked = tree_scores(models.score(model, rows), model, ["vec_id", "label", "prediction", "score"])
+    return _scored_alike(walked, F.col("total"))
 
 
 def q32_gbt(spark: SparkSession, d: str) -> DataFrame:
+    """The boosted probabilities against walks down the trees, whose values add up to the log-odds."""
     model, rows = fit_boosting(spark, d)
-    return models.score(model, rows).select("vec_id", "label", "prediction", "score")
+    walked = tree_scores(models.score(model, rows), model, ["vec_id", "label", "prediction", "score"])
+    return _scored_alike(walked, 1 / (1 + F.exp(-F.col("total"))))
+
+
+def q32b_one_split(spark: SparkSession, d: str) -> DataFrame:
+    """A single boosted tree of one split, fitted on every threshold, and the split found by exact search."""
+    rows = vectors(spark, d).withColumn("sign", 2.0 * F.col("label") - 1.0)
+    booster = models.gradient_boosting(1, 1).setSubsamplingRate(1.0).setMaxBins(rows.count() + 1)
+    nodes = node_table(spark, booster.fit(rows))
+    root, left, right = (nodes.where(F.col("id") == k) for k in range(3))
+    # Values in the node table are log-odds, twice the mean of the signs.
+    fitted = root.select(F.lit("fitted").alias("source"), "feature", "threshold").crossJoin(
+        left.select((F.col("value") / 2).alias("left_value"))
+    ).crossJoin(right.select((F.col("value") / 2).alias("right_value")))
+    found = best_split(rows.select("sign", vector_to_array("features").alias("x")), "sign")
+    both = fitted.unionByName(found.drop("gain").withColumn("source", F.lit("searched")))
+    return both.select("source", F.concat(F.lit("e"), "feature").alias("feature"), *[half_up(F.col(c), 7).alias(c) for c in ("threshold", "left_value", "right_value")])
+
+
+Q32B = f"""WITH u AS (SELECT unnest(range({WIDTH})) AS j, CAST(unnest(embedding) AS double) AS x,
+  CASE WHEN label >= {POSITIVE_FROM} THEN 1.0 ELSE -1.0 END::DOUBLE AS y FROM embeddings),
+c AS (SELECT j, x, count(*) AS n, sum(y) AS y FROM u GROUP BY j, x),
+r AS (SELECT j, x, lead(x) OVER w AS above, sum(n) OVER w AS ln, sum(y) OVER w AS ly,
+  sum(n) OVER (PARTITION BY j) AS tn, sum(y) OVER (PARTITION BY j) AS ty FROM c WINDOW w AS (PARTITION BY j ORDER BY x)),
+b AS (SELECT * FROM r WHERE above IS NOT NULL ORDER BY ly * ly / ln + (ty - ly) * (ty - ly) / (tn - ln) DESC, j, x LIMIT 1)
+SELECT unnest(['fitted', 'searched']) AS source, 'e' || j AS feature, {sql.rounded('(x + above) / 2', 7)} AS threshold,
+  {sql.rounded('ly / ln', 7)} AS left_value, {sql.rounded('(ty - ly) / (tn - ln)', 7)} AS right_value FROM b"""
 
 
 def q33_tree_shap(spark: SparkSession, d: str) -> DataFrame:
@@ -182,13 +217,93 @@ def q33c_boosting_shap_adds_up(spark: SparkSession, d: str) -> DataFrame:
     return explained.select("vec_id", F.abs(half_up(_added_up(explained, base) - margin, 9)).alias("gap"))
 
 
+# A small tree of three features: (node, left, right, feature, threshold, first leaf, last leaf); leaves are 7 to 14.
+# One path tests a feature twice.
+SMALL_TREE = (
+    (0, 1, 2, 0, 0.0, 7, 14), (1, 3, 4, 1, 0.0, 7, 10), (2, 5, 6, 1, 0.05, 11, 14), (3, 7, 8, 0, -0.1, 7, 8),
+    (4, 9, 10, 2, 0.0, 9, 10), (5, 11, 12, 2, 0.02, 11, 12), (6, 13, 14, 2, -0.03, 13, 14),
+)
+
+
+def _small_leaf(x) -> str:
+    """SQL for the leaf that a row reaches; ``x`` gives the SQL of a feature."""
+
+    def below(node: int) -> str:
+        if node > 6:
+            return str(node)
+        _, left, right, feature, threshold, _, _ = SMALL_TREE[node]
+        return f"CASE WHEN {x(feature)} <= {threshold} THEN {below(left)} ELSE {below(right)} END"
+
+    return below(0)
+
+
+def q33d_tree_coalitions(spark: SparkSession, d: str) -> DataFrame:
+    """Attributions of a small tree, whose covers and leaf values come from all rows, against all coalitions in SQL."""
+    rows = vectors(spark, d).withColumn("x", vector_to_array("features"))
+    leaves = rows.select(F.expr(_small_leaf(lambda j: f"x[{j}]")).alias("leaf"), "label")
+    counts = leaves.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("label").alias("k"))
+    shape = [*SMALL_TREE, *((leaf, -1, -1, -1, None, leaf, leaf) for leaf in range(7, 15))]
+    tree = spark.createDataFrame(shape, "id int, left int, right int, feature int, threshold double, low int, high int")
+    # One row is added to every leaf, so that none is empty.
+    spread_out = F.col("high") - F.col("low") + 1
+    nodes = tree.join(counts, F.col("leaf").between(F.col("low"), F.col("high")), "left").groupBy(tree.columns).agg(
+        (F.coalesce(F.sum("n"), F.lit(0)) + spread_out).cast("double").alias("cover"),
+        (F.coalesce(F.sum("k"), F.lit(0)) / (F.coalesce(F.sum("n"), F.lit(0)) + spread_out)).alias("value"),
+    )
+    nodes = nodes.select(F.lit(0).alias("tree"), "id", "left", "right", "feature", "threshold", "cover", "value")
+    explained, _ = tree_contributions(rows, nodes, ["vec_id"])
+    return attribution_long(explained, NAMES, ["vec_id"]).where(F.col("feature").isin(NAMES[:3])).select(
+        "vec_id", "feature", half_up(F.col("phi"), 7).alias("phi")
+    )
+
+
+def _coalitions_sql() -> str:
+    """The values of all eight coalitions, each the sum over leaves of value times met conditions or shares."""
+    paths = {}
+
+    def unfold(node: int, met: dict) -> None:
+        if node > 6:
+            paths[node] = met
+            return
+        _, left, right, j, threshold, _, _ = SMALL_TREE[node]
+        for child, sign in ((left, "<="), (right, ">")):
+            conditions, shares = met.get(j, ((), ()))
+            unfold(child, met | {j: ((*conditions, f"x{j} {sign} {threshold}"), (*shares, f"c{child} / c{node}"))})
+
+    unfold(0, {})
+    covers = {leaf: f"(sum(CASE WHEN leaf = {leaf} THEN 1 ELSE 0 END) + 1)" for leaf in range(7, 15)}
+    covers |= {k: " + ".join(covers[leaf] for leaf in range(low, high + 1)) for k, *_, low, high in SMALL_TREE}
+    values = {leaf: f"sum(CASE WHEN leaf = {leaf} THEN label ELSE 0 END) / CAST({covers[leaf]} AS double)" for leaf in range(7, 15)}
+
+    def worth(known: int) -> str:
+        return " + ".join(
+            " * ".join([f"v{leaf}"] + [
+                f"CAST({' AND '.join(conditions)} AS integer)" if known >> j & 1 else " * ".join(shares)
+                for j, (conditions, shares) in met.items()
+            ])
+            for leaf, met in paths.items()
+        )
+
+    weight = {0: "1 / 3.0", 1: "1 / 6.0", 2: "1 / 3.0"}  # s! (2 - s)! / 3!
+    phi = {
+        j: " + ".join(f"{weight[k.bit_count()]} * (w{k | 1 << j} - w{k})" for k in range(8) if not k >> j & 1) for j in range(3)
+    }
+    columns = ", ".join(f"CAST(embedding[{j + 1}] AS double) AS x{j}" for j in range(3))
+    union = " UNION ALL ".join(f"SELECT vec_id, 'e{j}' AS feature, {sql.rounded(f'CAST({phi[j]} AS double)', 7)} AS phi FROM w" for j in range(3))
+    return f"""WITH r AS (SELECT vec_id, CAST(label >= {POSITIVE_FROM} AS integer) AS label, {columns} FROM embeddings),
+l AS (SELECT *, {_small_leaf(lambda j: f'x{j}')} AS leaf FROM r),
+t AS (SELECT {', '.join(f'CAST({c} AS double) AS c{k}' for k, c in covers.items())}, {', '.join(f'{v} AS v{k}' for k, v in values.items())} FROM l),
+w AS (SELECT vec_id, {', '.join(f'{worth(k)} AS w{k}' for k in range(8))} FROM l CROSS JOIN t)
+{union}"""
+
+
 ADDS_UP = "SELECT vec_id, CAST(0.0 AS double) AS gap FROM embeddings"
 
 
 def q34_sampled_shap(spark: SparkSession, d: str) -> DataFrame:
     """Model-agnostic attributions."""
     model, rows = fit_logistic(spark, d)
-    background = fixed_sample(rows, WALK_PARTNERS, "vec_id")
+    background = fixed_sample(rows, BACKGROUND_ROWS, "vec_id")
     explained, _ = sampled_contributions(rows, model, "vec_id", background)
     return attribution_long(explained, NAMES, ["vec_id"])
 
@@ -196,13 +311,9 @@ def q34_sampled_shap(spark: SparkSession, d: str) -> DataFrame:
 def q34b_sampled_shap_of_sums(spark: SparkSession, d: str) -> DataFrame:
     """Sampled attributions of a fixed linear score, which come out the same in any feature order."""
     rows = vectors(spark, d)
-    background = fixed_sample(rows, WALK_PARTNERS, "vec_id", order=F.expr(sql.number("vec_id")))
-
-    def weigh(mixed: DataFrame) -> DataFrame:
-        terms = F.transform(vector_to_array("features"), lambda x, j: x * (j % 7 - 3) * 0.25)
-        return mixed.withColumn("score", F.aggregate(terms, F.lit(0.0), lambda a, x: a + x))
-
-    explained, _ = sampled_contributions(rows, None, "vec_id", background, scorer=weigh)
+    background = fixed_sample(rows, BACKGROUND_ROWS, "vec_id", order=F.expr(sql.number("vec_id")))
+    slopes = np.array([(j % 7 - 3) * 0.25 for j in range(WIDTH)])
+    explained, _ = sampled_contributions(rows, None, "vec_id", background, arrays=lambda x: x @ slopes)
     return attribution_long(explained, NAMES, ["vec_id"]).select("vec_id", "feature", half_up(F.col("phi"), 7).alias("phi"))
 
 
@@ -227,9 +338,11 @@ QUERIES = {
     "q30c_logreg_gradient": q30c_logreg_gradient,
     "q31_forest": q31_forest,
     "q32_gbt": q32_gbt,
+    "q32b_one_split": q32b_one_split,
     "q33_tree_shap": q33_tree_shap,
     "q33b_forest_shap_adds_up": q33b_forest_shap_adds_up,
     "q33c_boosting_shap_adds_up": q33c_boosting_shap_adds_up,
+    "q33d_tree_coalitions": q33d_tree_coalitions,
     "q34_sampled_shap": q34_sampled_shap,
     "q34b_sampled_shap_of_sums": q34b_sampled_shap_of_sums,
     "q35_attribution_long": q35_attribution_long,
@@ -237,10 +350,15 @@ QUERIES = {
 ORACLES = {
     "q23_linear_shap": Q23,
     "q24_topk": Q24,
+    "q30_logreg": SCORED_ALIKE,
     "q30b_logreg_balance": Q30B,
     "q30c_logreg_gradient": Q30C,
+    "q31_forest": SCORED_ALIKE,
+    "q32_gbt": SCORED_ALIKE,
+    "q32b_one_split": Q32B,
     "q33b_forest_shap_adds_up": ADDS_UP,
     "q33c_boosting_shap_adds_up": ADDS_UP,
-    "q34b_sampled_shap_of_sums": _linear_sql(WALK_PARTNERS),
+    "q33d_tree_coalitions": _coalitions_sql(),
+    "q34b_sampled_shap_of_sums": Q23,
     "q35_attribution_long": Q35,
 }
