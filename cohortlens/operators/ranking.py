@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 
-# Up to this many rows, proven by a count, one sorted task is the cheapest way to number them.
-ONE_TASK_ROWS = 1_000_000
 SLICE_ROWS = 100_000
+POSITION_BITS = 33  # of monotonically_increasing_id, which hold a row's position in its partition
 
 
 def running_totals(
@@ -25,62 +23,55 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<v>`` (sum up to and including the row) and ``total_<v>`` per value column.
 
-    ``df`` must be unique on (within, order), so aggregate ties first. It is written out once, since
-    three steps read it: the order column is cut at its own quantiles into slices of about
-    ``slice_rows`` rows; sums run inside a slice; and the totals of earlier slices, a table of one row
-    per slice and group, are added to them. No task sees more than one slice, whatever the
-    distribution of the values.
+    ``df`` must be unique on (within, order), so aggregate ties first; order may be of any sortable type.
+    Rows are range-partitioned, and the tasks that sort the ranges cut them into slices of ``slice_rows``
+    rows while they write them. Sums run inside a slice; the totals of earlier slices of the range, and of
+    earlier ranges, are added to them. So no task sees more than one slice, or one row for each slice of a
+    range or for each range, and no list of cuts exists anywhere.
     """
-    stored = materialize(df)
-    sliced = _sliced(stored, order, slice_rows)
+    keys = [*within, order]
+    position = F.monotonically_increasing_id().bitwiseAND((1 << POSITION_BITS) - 1)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    sliced = materialize(ranged.select("*", F.spark_partition_id().alias("_range"), F.floor(position / slice_rows).alias("_slice")))
     direction = F.desc if descending else F.asc
-    keys = [*within, "_slice"]
-    earlier = Window.partitionBy(*within).orderBy(direction("_slice")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    whole = Window.partitionBy(*within)
-    offsets = sliced.groupBy(*keys).agg(*[F.sum(v).alias(f"_{v}") for v in values]).select(
-        *keys,
-        *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values],
+    by_slice = [*within, "_range", "_slice"]
+    slices = sliced.groupBy(*by_slice).agg(*[F.sum(v).alias(f"_{v}") for v in values])
+    ranges = slices.groupBy(*within, "_range").agg(*[F.sum(f"_{v}").alias(f"_{v}") for v in values])
+
+    def before(window, place, v):
+        rows = window.orderBy(direction(place)).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(f"_{v}").over(rows), F.lit(0))
+
+    whole, inner = Window.partitionBy(*within), Window.partitionBy(*within, "_range")
+    ranges = ranges.select(
+        *[F.col(c).alias(f"_of_{c}") for c in (*within, "_range")],
+        *[before(whole, "_range", v).alias(f"_earlier_{v}") for v in values],
         *[F.sum(f"_{v}").over(whole).alias(f"total_{v}") for v in values],
     )
-    inside = Window.partitionBy(*keys).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+    slices = slices.select(*[F.col(c).alias(f"_in_{c}") for c in by_slice], *[before(inner, "_slice", v).alias(f"_before_{v}") for v in values])
+    inside = Window.partitionBy(*by_slice).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.select("*", *[F.sum(v).over(inside).alias(f"_local_{v}") for v in values])
-    return local.join(offsets, keys).select(
+    placed = local.join(slices, _same(by_slice, "_in_")).join(ranges, _same([*within, "_range"], "_of_"))
+    return placed.select(
         *df.columns,
-        *[(F.col(f"_local_{v}") + F.col(f"_before_{v}")).alias(f"cum_{v}") for v in values],
+        *[(F.col(f"_local_{v}") + F.col(f"_before_{v}") + F.col(f"_earlier_{v}")).alias(f"cum_{v}") for v in values],
         *[f"total_{v}" for v in values],
     )
 
 
-def _sliced(df: DataFrame, order: str, slice_rows: int) -> DataFrame:
-    """Add ``_slice``, the number of the quantile range the order column falls into."""
-    slices = -(-df.count() // slice_rows)
-    if slices <= 1:
-        return df.withColumn("_slice", F.lit(0.0))
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = df.agg(F.approx_percentile(F.col(order).cast("double"), cuts, 20 * slices)).first()[0]
-    # Bucketizer looks the range up by binary search on the executors.
-    splits = [-math.inf, *sorted({b for b in bounds or () if math.isfinite(b)}), math.inf]
-    bucketizer = Bucketizer(splits=splits, inputCol="_order", outputCol="_slice", handleInvalid="keep")
-    return bucketizer.transform(df.withColumn("_order", F.col(order).cast("double"))).drop("_order")
+def _same(columns: Sequence[str], prefix: str) -> Column:
+    """Equality of columns with their prefixed counterparts, nulls being equal."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns])
 
 
 def sorted_codes(df: DataFrame, column: str) -> DataFrame:
     """Dictionary (value, code): the distinct non-null values numbered from 0 in sorted order."""
     values = df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct()
-    return number_sorted(materialize(values))
+    return number_sorted(values)
 
 
 def number_sorted(values: DataFrame) -> DataFrame:
-    """(value, code) for distinct values."""
-    if values.count() <= ONE_TASK_ROWS:
-        return values.select("value", (F.row_number().over(Window.orderBy("value")) - 1).alias("code"))
-    return _number_by_range(values)
-
-
-def _number_by_range(values: DataFrame) -> DataFrame:
-    """Number a large sorted set: position inside a range partition plus the sizes before it.
+    """(value, code) for distinct values: the position inside a range partition plus the sizes before it.
 
     The partitioned set is written once because range boundaries are sampled anew in every run.
     """
@@ -88,8 +79,7 @@ def _number_by_range(values: DataFrame) -> DataFrame:
         values.repartitionByRange("value").sortWithinPartitions("value").select(
             "value",
             F.spark_partition_id().alias("_part"),
-            # The id holds the row's position within its partition in the low 33 bits.
-            F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_pos"),
+            F.monotonically_increasing_id().bitwiseAND((1 << POSITION_BITS) - 1).alias("_pos"),
         )
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,35 +3,35 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import seeded_hash
 from ..session import materialize
 from ..specs import SEED, TEST_FRACTION
+from .ranking import running_totals
 
-MAX_CLASSES = 1_000
-_SHIFTS = (20, 10, 0)  # bits below a counting block: 4096 blocks, then 1024 in one, then single numbers
+NUMBER_SHIFTS = (20, 10, 0)  # bits below a counting block: 4096 blocks, then 1024 in one, then single numbers
+PLACE_SHIFTS = (50, 37, 24, 12, 0)  # the same for places in a table, numbers below 2**63
 
 
-def class_counts(df: DataFrame, label: str) -> dict[object, int]:
-    """Rows per class, on the driver. A column with more values than that is no class label."""
-    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {r[0]: r[1] for r in rows}
+def class_counts(df: DataFrame, label: str) -> DataFrame:
+    """(class, n) for every value of ``label``, NULL being one, stored: a class for each row is no problem."""
+    return materialize(df.groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n")))
 
 
-def split_sizes(counts: dict[object, int], fraction: float) -> dict[object, int]:
-    """Test rows per class: ceil(fraction * n) in total, shared out by largest remainder."""
-    n = sum(counts.values())
-    n_train = n - math.ceil(round(fraction * n, 9))
-    train = {c: n_train * k // n for c, k in counts.items()}
-    by_remainder = sorted(counts, key=lambda c: (-(n_train * counts[c] % n), str(c)))
-    for c in by_remainder[: n_train - sum(train.values())]:
-        train[c] += 1
-    return {c: counts[c] - train[c] for c in counts}
+def split_sizes(counts: DataFrame, fraction: float) -> DataFrame:
+    """(class, n_test): ceil(fraction * n) test rows in total, shared out by largest remainder, which is
+    given to training rows; equal remainders go to the classes that are first as text."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n_train = total - math.ceil(round(fraction * total, 9))
+    share, whole = f"CAST(n AS decimal(19,0)) * {n_train}BD", f"{max(1, total)}BD"
+    shared = counts.select("class", "n", F.expr(f"{share} div {whole}").alias("low"), F.expr(f"({share}) % {whole}").alias("rest"))
+    extra = n_train - shared.agg(F.coalesce(F.sum("low"), F.lit(0))).first()[0]
+    placed = F.struct((-F.col("rest")).alias("a"), F.coalesce(F.col("class").cast("string"), F.lit("None")).alias("b"))
+    ranked = running_totals(shared.select("class", "n", "low", placed.alias("place"), F.lit(1).alias("one")), "place", ["one"])
+    return ranked.select("class", (F.col("n") - F.col("low") - (F.col("cum_one") <= extra).cast("long")).alias("n_test"))
 
 
 def stratified_split(
@@ -47,24 +47,20 @@ def stratified_split(
     A row is a test row if its pseudo-random number (``order``, an integer in [0, 2**32)) is among
     the smallest of its class, ties by ``row_id`` and then by the row's place in the table, which is
     written out once: rows that share an identifier, or have none, are told apart. Instead of ranking
-    whole classes, the cut-off row of each class is located by counting ever smaller blocks of numbers;
-    the split itself is then a plain comparison that moves no data.
+    whole classes, the cut-off row of each class is located by counting ever smaller blocks of numbers.
+    Classes, sizes and cut-offs are tables, however many there are; rows meet them by a join on the
+    class, which AQE splits where a class is large, or broadcasts where the classes are few.
     """
     number = seeded_hash(seed, row_id) if order is None else order
     stored = materialize(df.withColumns({"_number": number.cast("long"), "_tie": F.monotonically_increasing_id()}))
-    keyed = stored.select(F.col(label).alias("_class"), "_number", F.col(row_id).alias("_id"), "_tie")
-    sizes = {c: k for c, k in split_sizes(class_counts(df, label), fraction).items() if k > 0}
+    wanted = split_sizes(class_counts(df, label), fraction).where("n_test > 0").select("class", F.col("n_test").alias("left"))
+    keyed = stored.select(F.col(label).alias("class"), "_number", F.col(row_id).alias("_id"), "_tie")
+    cuts = materialize(_cut_rows(keyed, wanted))
+    cuts = cuts.select(F.col("class").alias("_class"), F.struct("_number", "_id", "_tie").alias("_cut"))
+    joined = stored.join(cuts, F.col(label).eqNullSafe(F.col("_class")), "left")
     at = F.struct(F.col("_number"), F.col(row_id).alias("_id"), F.col("_tie"))
-    kind = df.schema[row_id].dataType
-    is_test = {
-        cut["_class"]: at <= F.struct(
-            F.lit(cut["_number"]).cast("long").alias("_number"), F.lit(cut["_id"]).cast(kind).alias("_id"),
-            F.lit(cut["_tie"]).cast("long").alias("_tie"),
-        )
-        for cut in _cutoffs(keyed, sizes)
-    }
-    split = F.when(F.coalesce(per_class(F.col(label), is_test), F.lit(False)), "test").otherwise("train")
-    return stored.withColumn("split", split).drop("_number", "_tie")
+    split = F.when(F.coalesce(at <= F.col("_cut"), F.lit(False)), "test").otherwise("train")
+    return joined.select(*df.columns, split.alias("split"))
 
 
 def grouped_split(
@@ -78,52 +74,63 @@ def grouped_split(
     return df.join(sides, group, "left").withColumn("split", F.coalesce("split", F.lit("train")))
 
 
-def per_class(label: Column, values: Mapping[object, Column]) -> Column:
-    """The value given for the row's class, NULL for other classes; the class may be NULL itself."""
-    chosen = None
-    for c, value in values.items():
-        hit = label.eqNullSafe(F.lit(c))
-        chosen = F.when(hit, value) if chosen is None else chosen.when(hit, value)
-    return F.lit(None) if chosen is None else chosen
+def _cut_rows(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The last wanted row of each class: class, _number, _id, _tie. ``wanted`` has class and left, the rows wanted.
 
+    The number is found first. Rows of that very number are few unless they share an identifier; among
+    these the identifier is found by running totals, and the row by its place in the table.
+    """
+    numbers = materialize(_cut_numbers(keyed, "_number", wanted, NUMBER_SHIFTS))
+    same = keyed.join(numbers.select(F.col("class").alias("_of"), F.col("cut"), "left"), F.col("class").eqNullSafe(F.col("_of")))
+    same = materialize(same.where("_number = cut").select("class", "_number", "_id", "_tie", "left"))
+    counted = same.groupBy("class", "_id").agg(F.count("*").alias("n"), F.first("left").alias("left"))
+    totals = running_totals(counted, "_id", ["n"], within=["class"])
+    ids = totals.where("left > cum_n - n AND left <= cum_n").select(
+        F.struct("class", F.col("_id").alias("id")).alias("class"), (F.col("left") - F.col("cum_n") + F.col("n")).alias("left")
+    )
+    places = same.select(F.struct("class", F.col("_id").alias("id")).alias("class"), "_tie", "_number")
+    found = _cut_numbers(places, "_tie", materialize(ids), PLACE_SHIFTS)
+    ends = found.select("class.class", F.col("class.id").alias("_id"), F.col("cut").alias("_tie"))
+    numbers = numbers.select(F.col("class").alias("_of"), F.col("cut").alias("_number"))
+    return ends.join(numbers, F.col("class").eqNullSafe(F.col("_of"))).select("class", "_number", "_id", "_tie")
 
-def _cutoffs(keyed: DataFrame, sizes: Mapping[object, int]) -> list:
-    """The last test row of each class: (_class, _number, _id, _tie), one row per class.
 
-    Blocks of numbers are counted and the one with the cut-off is divided further, down to single
-    numbers, so that only rows with the very same number are ranked in one task.
+def _cut_numbers(keyed: DataFrame, number: str, wanted: DataFrame, shifts: Sequence[int]) -> DataFrame:
+    """(class, cut, left): the number of the last wanted row of each class, and how many rows of that number are wanted.
+
+    Rows are counted in blocks of numbers; the block with the cut is counted in smaller ones, down to
+    single numbers. A class has some thousand blocks at most.
     """
-    if not sizes:
-        return []
-    label, left, found = F.col("_class"), dict(sizes), {}
-    for shift in _SHIFTS:
-        block = F.shiftright(F.col("_number"), shift)
-        inside = keyed
-        if found:
-            step = shift - _SHIFTS[_SHIFTS.index(shift) - 1]
-            inside = keyed.where(F.shiftright(block, -step) == per_class(label, {c: F.lit(b) for c, b in found.items()}))
-        counted = inside.groupBy("_class", block.alias("_block")).agg(F.count("*").alias("_n"))
-        running = Window.partitionBy("_class").orderBy("_block")
-        wanted = per_class(label, {c: F.lit(k) for c, k in left.items()})
-        cuts = (
-            counted.withColumn("_cum", F.sum("_n").over(running))
-            .withColumn("_left", wanted - (F.col("_cum") - F.col("_n")))
-            .where(F.col("_left").between(1, F.col("_n")))
-            .select("_class", "_block", "_left")
-            .collect()
-        )
-        found = {r["_class"]: r["_block"] for r in cuts}
-        left = {r["_class"]: r["_left"] for r in cuts}
-    ranked = Window.partitionBy("_class").orderBy("_number", "_id", "_tie")
-    return (
-        keyed.where(F.col("_number") == per_class(label, {c: F.lit(b) for c, b in found.items()}))
-        .withColumn("_rank", F.row_number().over(ranked))
-        .where(F.col("_rank") == per_class(label, {c: F.lit(k) for c, k in left.items()}))
-        .collect()
-    )
+    cut, above = wanted.select(F.col("class").alias("_of"), F.lit(0).cast("long").alias("_in"), "left"), 63
+    for shift in shifts:
+        block = F.shiftright(F.col(number), shift)
+        here = F.lit(0).cast("long") if above == 63 else F.shiftright(F.col(number), above)
+        inside = keyed.select("class", here.alias("_here"), block.alias("_block")).groupBy("class", "_here", "_block").agg(F.count("*").alias("_n"))
+        inside = inside.join(cut, F.col("class").eqNullSafe(F.col("_of")) & (F.col("_here") == F.col("_in")))
+        running = Window.partitionBy("class").orderBy("_block")
+        inside = inside.withColumn("_cum", F.sum("_n").over(running)).where("left > _cum - _n AND left <= _cum")
+        cut = inside.select(F.col("class").alias("_of"), F.col("_block").alias("_in"), (F.col("left") - F.col("_cum") + F.col("_n")).alias("left"))
+        above = shift
+    return cut.select(F.col("_of").alias("class"), F.col("_in").alias("cut"), "left")
 
 
 def fixed_sample(df: DataFrame, n: int, row_id: str, seed: int = SEED, order: Column | None = None) -> DataFrame:
-    """Exactly ``n`` rows (all if there are fewer), chosen uniformly and reproducibly."""
-    number = seeded_hash(seed, row_id) if order is None else order
-    return df.orderBy(number, row_id).limit(n)
+    """Exactly ``n`` rows (all if there are fewer), chosen uniformly and reproducibly, n of any size.
+
+    Rows with the smallest numbers are taken, ties by ``row_id``. The last number is found by counting
+    blocks of numbers, three passes over one column; rows of smaller numbers then come from a plain
+    filter, and only those of the last number, few unless identifiers repeat, are stored and ordered.
+    """
+    number = (seeded_hash(seed, row_id) if order is None else order).cast("long")
+    keyed = df.select(F.lit(0).alias("class"), number.alias("_number"))
+    wanted = df.sparkSession.range(1).select(F.lit(0).alias("class"), F.lit(n).cast("long").alias("left"))
+    cut = _cut_numbers(keyed, "_number", wanted, NUMBER_SHIFTS).first()
+    if cut is None:  # fewer rows than wanted, or none wanted
+        return df if n > 0 else df.limit(0)
+    last = materialize(df.where(number == cut["cut"]).withColumns({"_number": number, "_tie": F.monotonically_increasing_id()}))
+    at = last.select(F.lit(0).alias("class"), "_number", F.col(row_id).alias("_id"), "_tie")
+    wanted = wanted.withColumn("left", F.lit(cut["left"]))
+    end = _cut_rows(at, wanted).select(F.struct("_id", "_tie").alias("_cut"))
+    # One row.
+    last = last.join(F.broadcast(end)).where(F.struct(F.col(row_id).alias("_id"), F.col("_tie")) <= F.col("_cut"))
+    return df.where(number < cut["cut"]).unionByName(last.select(df.columns))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from .ranking import SLICE_ROWS, running_totals
-from .sampling import class_counts, per_class
+from .sampling import class_counts
 
 # Ranks are estimated with an error of 1 / ACCURACY of the rows; a bracket of twice that holds the median.
 ACCURACY = 10_000
@@ -90,12 +90,15 @@ def moments(df: DataFrame, fills: dict[str, float]) -> dict[str, tuple[float, fl
     return {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in fills}
 
 
-def class_weights(df: DataFrame, label: str) -> dict[object, float]:
-    """Balanced weights n / (classes * rows of the class)."""
+def class_weights(df: DataFrame, label: str) -> DataFrame:
+    """(class, weight): balanced weights n / (classes * rows of the class), a small table however many rows there are."""
     counts = class_counts(df, label)
-    n = sum(counts.values())
-    return {c: n / (len(counts) * k) for c, k in counts.items()}
+    total, classes = counts.agg(F.sum("n"), F.count("*")).first()
+    return counts.select("class", (F.lit(total or 0) / (F.lit(float(classes)) * F.col("n"))).alias("weight"))
 
 
-def with_weights(df: DataFrame, label: str, weights: dict[object, float], name: str = "weight") -> DataFrame:
-    return df.withColumn(name, per_class(F.col(label), {c: F.lit(w) for c, w in weights.items()}))
+def with_weights(df: DataFrame, label: str, weights: DataFrame, name: str = "weight") -> DataFrame:
+    """Add the weight of the row's class, NULL for a class without one."""
+    named = weights.select(F.col("class").alias("_class"), F.col("weight").alias("_weight"))
+    joined = df.join(named, F.col(label).eqNullSafe(F.col("_class")), "left")
+    return joined.select(*df.columns, F.col("_weight").alias(name))

@@ -11,7 +11,7 @@ from cohortlens.operators import ranking
 from cohortlens.operators.encode import DictionaryEncoder, feature_names, fit_features, label_encode, ordinal_encode, split_by_type
 from cohortlens.operators.ranking import sorted_codes
 from cohortlens.operators.sampling import class_counts, fixed_sample, split_sizes, stratified_split
-from cohortlens.operators.stats import class_weights, distributed_medians, medians, modes, moments
+from cohortlens.operators.stats import class_weights, distributed_medians, medians, modes, moments, with_weights
 
 
 def test_gender_codes(spark):
@@ -36,7 +36,7 @@ def test_empty_dictionary_knows_nothing(spark):
 def test_numbering_by_range_equals_numbering_in_one_task(spark):
     values = spark.range(5000).select(F.concat(F.lit("v"), F.xxhash64("id").cast("string")).alias("value"))
     expected = {v: i for i, v in enumerate(sorted(r[0] for r in values.collect()))}
-    assert {r["value"]: r["code"] for r in ranking._number_by_range(values.repartition(7)).collect()} == expected
+    assert {r["value"]: r["code"] for r in ranking.number_sorted(values.repartition(7)).collect()} == expected
 
 
 def test_median_fill_then_scale(spark):
@@ -111,13 +111,26 @@ def test_saved_dictionary_lies_in_the_model(spark, tmp_path):
 
 def test_balanced_weights(spark):
     df = spark.createDataFrame([(0,)] * 30 + [(1,)] * 10, "y int")
-    assert class_weights(df, "y") == {0: 40 / 60, 1: 40 / 20}
+    assert {r["class"]: r["weight"] for r in class_weights(df, "y").collect()} == {0: 40 / 60, 1: 40 / 20}
+    assert with_weights(df.limit(0), "y", class_weights(df.limit(0), "y")).collect() == []
+
+
+def plain_sizes(counts, fraction):
+    """Largest remainder, given to training rows."""
+    n = sum(counts.values())
+    n_train = n - math.ceil(round(fraction * n, 9))
+    train = {c: n_train * k // n for c, k in counts.items()}
+    for c in sorted(counts, key=lambda c: (-(n_train * counts[c] % n), str(c)))[: n_train - sum(train.values())]:
+        train[c] += 1
+    return {c: k - train[c] for c, k in counts.items()}
 
 
 @pytest.mark.parametrize("counts", [{0: 348, 1: 51}, {0: 1, 1: 1}, {0: 7, 1: 3, 2: 5}, {None: 4, 1: 11}])
-def test_split_sizes_add_up(counts):
-    sizes = split_sizes(counts, 0.2)
+def test_split_sizes_add_up(spark, counts):
+    sizes = split_sizes(spark.createDataFrame(list(counts.items()), "class int, n long"), 0.2)
+    sizes = {r["class"]: r["n_test"] for r in sizes.collect()}
     n = sum(counts.values())
+    assert sizes == plain_sizes(counts, 0.2)
     assert sum(sizes.values()) == math.ceil(n / 5)
     assert all(abs(sizes[c] - k * (1 - (n - math.ceil(n / 5)) / n)) < 1 for c, k in counts.items())
 
@@ -128,7 +141,7 @@ def test_split_is_exact_and_independent_of_partitioning(spark):
     many = stratified_split(df.repartition(23), "y", "id")
     assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, many.collect()), key=str)
     got = {(r["y"], r["split"]): r["count"] for r in one.groupBy("y", "split").count().collect()}
-    for y, k in split_sizes(class_counts(df, "y"), 0.2).items():
+    for y, k in plain_sizes({r["class"]: r["n"] for r in class_counts(df, "y").collect()}, 0.2).items():
         assert got[(y, "test")] == k
     other = stratified_split(df, "y", "id", seed=7)
     assert other.exceptAll(many).count() > 0
@@ -152,3 +165,25 @@ def test_fixed_sample_is_exact_and_reproducible(spark):
 def test_slug():
     assert slug("Gradient Boosting") == "gradient_boosting"
     assert slug("  A--b  (c) ") == "a_b_c" and slug("Éa_1") == "éa_1" and slug("...") == ""
+
+
+def test_samples_of_any_size_hold_the_smallest_numbers(spark):
+    """Also where identifiers repeat, are missing or all the same, and where numbers collide."""
+    ids = [None if k % 9 == 0 else k // 3 for k in range(600)]
+    df = spark.createDataFrame([(i, k) for k, i in enumerate(ids)], "id int, k int").repartition(4)
+    for n in (0, 1, 299, 300, 301, 599, 600, 601):
+        got = fixed_sample(df, n, "id", order=F.coalesce(F.col("id"), F.lit(0)) % 7)
+        wanted = sorted(((i or 0) % 7, i is not None, i or 0) for i in ids)[:n]
+        assert sorted(((r["id"] or 0) % 7, r["id"] is not None, r["id"] or 0) for r in got.collect()) == wanted
+        assert got.distinct().count() == min(n, 600)
+    assert fixed_sample(df.withColumn("id", F.lit(1)), 77, "id").distinct().count() == 77
+
+
+def test_a_label_of_thousands_of_values_splits_exactly(spark):
+    df = spark.range(12_000).select("id", (F.col("id") % 5000).alias("y"))
+    got = stratified_split(df, "y", "id").groupBy("y").agg(F.sum((F.col("split") == "test").cast("int")).alias("n"))
+    sizes = {r["y"]: r["n"] for r in got.collect()}
+    assert sizes == plain_sizes({y: 3 if y < 2000 else 2 for y in range(5000)}, 0.2)
+    weights = class_weights(df, "y")
+    assert weights.count() == 5000
+    assert with_weights(df, "y", weights).agg(F.round(F.sum("weight"), 6)).first()[0] == 12_000
