@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import keyword_only
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Transformer
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions import NULL_CLASS
 from ..session import materialize, shared_dir
 from .ranking import number_sorted, sorted_codes
-from .stats import category_counts, medians, moments, most_frequent
+from .stats import category_counts, fills_and_scales, most_frequent
 
 UNKNOWN_CODE = -1
 # Dictionaries up to this size become part of the projection, where a lookup scans them; larger ones
 # are stored and joined, and their file size decides whether Spark broadcasts them.
 INLINE_VALUES = 100
 PREFIX = "f_"
+CODED = "code_"
 DICTIONARY = "dictionary"
 
 
@@ -111,6 +112,24 @@ class DictionaryEncoder(Transformer, HasInputCol, HasOutputCol, DefaultParamsRea
         return _looked_up(filled, codes, source, self.getOutputCol()).drop(source)
 
 
+class LabelCoder(Estimator, HasInputCol, HasOutputCol):
+    """Label encoding as a stage: classes are those of the rows it is fitted on, in sorted order, a missing
+    value being the class ``NULL_CLASS``. The model is a ``DictionaryEncoder``, so a class that was not
+    there gets ``UNKNOWN_CODE``."""
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> DictionaryEncoder:
+        column = self.getInputCol()
+        filled = dataset.select(F.coalesce(F.col(column).cast("string"), F.lit(NULL_CLASS)).alias(column))
+        path = shared_dir(dataset.sparkSession)
+        sorted_codes(filled, column).write.parquet(path)
+        return DictionaryEncoder(inputCol=column, outputCol=self.getOutputCol(), path=path, fill=NULL_CLASS)
+
+
 @dataclass(frozen=True)
 class FittedFeatures:
     """Pipeline stages that turn raw columns into the ``features`` vector, and the vector's names."""
@@ -124,15 +143,23 @@ def fit_features(
 ) -> FittedFeatures:
     """Median-impute and standardise the numeric columns, mode-impute and encode the others.
 
-    Columns without a single value in the training rows are dropped.
+    A numeric column of text is label-encoded first, by a stage of its own. Columns without a single
+    value in the training rows are dropped.
     """
-    centres = {c: m for c, m in medians(train, numeric).items() if m is not None}
-    scales = moments(train, centres)
+    coders = [
+        LabelCoder(inputCol=c, outputCol=CODED + c).fit(train) for c in numeric if isinstance(train.schema[c].dataType, T.StringType)
+    ]
+    for coder in coders:
+        train = coder.transform(train)
+    source = {c: c for c in numeric} | {coder.getInputCol(): coder.getOutputCol() for coder in coders}
+    summaries = fills_and_scales(train, list(source.values()))
+    centres = {c: summaries[s][0] for c, s in source.items() if s in summaries}
+    scales = {c: summaries[s][1:] for c, s in source.items() if s in summaries}
     counts = materialize(category_counts(train, categorical)) if categorical else None
     fills = most_frequent(counts) if categorical else {}
 
     projected = {
-        c: f"(coalesce(cast({_name(c)} AS double), {_number(centres[c])}) - {_number(scales[c][0])})"
+        c: f"(coalesce(cast({_name(source[c])} AS double), {_number(centres[c])}) - {_number(scales[c][0])})"
         f" / {_number(scales[c][1])}"
         for c in numeric
         if c in centres
@@ -156,7 +183,7 @@ def fit_features(
     names = [c for c in (*numeric, *categorical) if c in centres or c in fills]
     stages = [SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")] if exprs else []
     vector = VectorAssembler(inputCols=[PREFIX + c for c in names], outputCol="features", handleInvalid="error")
-    return FittedFeatures([*stages, *joined, vector], names)
+    return FittedFeatures([*coders, *stages, *joined, vector], names)
 
 
 def feature_names(stages: Sequence) -> list[str]:

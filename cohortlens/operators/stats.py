@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .ranking import SLICE_ROWS, running_totals
 from .sampling import class_counts
@@ -21,6 +22,37 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     return {c: found.get(c) for c in columns}
 
 
+def fills_and_scales(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float, float]]:
+    """Median, and mean and population standard deviation after filling with it, for each column with a value.
+
+    Two passes: the one that brackets the medians also takes the moments of the values that are there, to
+    which the filled ones are then added by formula.
+    """
+    if not columns:
+        return {}
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    row = doubles.agg(
+        F.count("*").alias("n"), *[_bracket(c).alias(f"b_{k}") for k, c in enumerate(columns)],
+        *[f(c).alias(f"{name}_{k}") for k, c in enumerate(columns) for name, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))],
+    ).first()
+    brackets = {c: row[f"b_{k}"] for k, c in enumerate(columns)}
+    found = {r["column"]: r["median"] for r in _between(doubles, brackets, SLICE_ROWS).collect()}
+    result = {}
+    for k, c in enumerate(columns):
+        if found.get(c) is None:
+            continue
+        n, there, mean, variance = row["n"], row[f"n_{k}"], row[f"m_{k}"], row[f"v_{k}"]
+        gap, missing = found[c] - mean, n - there
+        spread = (there * variance + gap * gap * there * missing / n) / n
+        result[c] = found[c], mean + gap * missing / n, math.sqrt(spread) or 1.0
+    return result
+
+
+def _bracket(column: str) -> Column:
+    around = F.array(*[F.lit(0.5 + side * 2 / ACCURACY) for side in (-1, 1)])
+    return F.approx_percentile(column, around, ACCURACY)
+
+
 def distributed_medians(df: DataFrame, columns: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(column, median) in two passes over the data.
 
@@ -29,9 +61,13 @@ def distributed_medians(df: DataFrame, columns: Sequence[str], slice_rows: int =
     the one or two middle values exactly.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    around = F.array(*[F.lit(0.5 + side * 2 / ACCURACY) for side in (-1, 1)])
-    brackets = doubles.agg(*[F.approx_percentile(c, around, ACCURACY).alias(c) for c in columns]).first()
-    known = [c for c in columns if brackets[c]]
+    brackets = doubles.agg(*[_bracket(c).alias(c) for c in columns]).first()
+    return _between(doubles, brackets.asDict(), slice_rows)
+
+
+def _between(doubles: DataFrame, brackets: dict, slice_rows: int) -> DataFrame:
+    df = doubles
+    known = [c for c in doubles.columns if brackets[c]]
     # What lies below or above a bracket is counted as one value.
     placed = [
         F.when(F.col(c) < F.lit(brackets[c][0]), F.lit(float("-inf")))

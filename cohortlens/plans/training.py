@@ -8,10 +8,11 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import slug
-from ..operators.encode import label_encode, split_by_type
+from ..operators.encode import split_by_type
 from ..operators.metrics import class_report, confusion, roc_curve
 from ..operators.models import TrainedModels, all_scores, train_and_evaluate
-from ..operators.sampling import stratified_split
+from ..operators.sampling import grouped_split, stratified_split
+from ..session import materialize
 from ..sources import write_csv
 from ..specs import ID_COLUMNS, SUB_LABELS, TARGET
 
@@ -19,24 +20,30 @@ GENDER = "gender"
 
 
 def prepare(dataset: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
-    """Model input: the parts of the target removed, gender encoded, and the two kinds of features.
+    """Model input: the parts of the target removed, and the two kinds of features.
 
-    Identifiers stay in the table to tell rows apart but are no features. The outcome flag and the
+    Gender counts as numeric: the fitted pipeline holds its label codes. Identifiers stay in the table to tell rows apart but are no features. The outcome flag and the
     lengths of stay are features; drop them first if they are not known at prediction time.
     """
     frame = dataset.drop(*SUB_LABELS).withColumn(TARGET, F.col(TARGET).cast("int"))
-    if GENDER in frame.columns:
-        frame = label_encode(frame, GENDER)
     numeric, categorical = split_by_type(frame, exclude=(*ID_COLUMNS, TARGET))
-    return frame, numeric, categorical
+    numeric = [c for c in frame.columns if c in numeric or (c == GENDER and c in categorical)]
+    return frame, numeric, [c for c in categorical if c != GENDER]
 
 
 def train(
-    dataset: DataFrame, row_id: str = "icustay_id", estimators: Mapping[str, Estimator] | None = None
+    dataset: DataFrame,
+    row_id: str = "icustay_id",
+    estimators: Mapping[str, Estimator] | None = None,
+    group: str | None = None,
 ) -> TrainedModels:
-    """Exact stratified split, then the models; feature statistics come from training rows only."""
+    """Exact stratified split, then the models; feature statistics come from training rows only.
+
+    With ``group`` (say, the patient) all rows of a group are on one side of the split.
+    """
     frame, numeric, categorical = prepare(dataset)
-    split = stratified_split(frame, TARGET, row_id)
+    split = grouped_split(frame, TARGET, group) if group else stratified_split(frame, TARGET, row_id)
+    split = materialize(split)
     return train_and_evaluate(
         split.where(F.col("split") == "train"), split.where(F.col("split") == "test"),
         numeric, categorical, TARGET, row_id, estimators,

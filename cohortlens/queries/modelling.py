@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import half_up
 from ..operators import models
 from ..operators.attribution import (
-    attribution_long, background_means, beeswarm, importance, linear_terms, sampled_contributions,
+    attribution_long, background_means, beeswarm, importance, linear_contributions, linear_terms, sampled_contributions,
 )
-from ..operators.metrics import evaluate
 from ..operators.ranking import top_ranked
 from ..operators.sampling import fixed_sample, stratified_split
 from ..operators.splits import best_split
@@ -97,18 +96,45 @@ FROM i ORDER BY v DESC, feature LIMIT {TOP_FEATURES}"""
 
 
 def q27_model_table(spark: SparkSession, d: str) -> DataFrame:
-    """All three models on one stratified split."""
-    split = materialize(stratified_split(vectors(spark, d), "label", "vec_id"))
-    train, test = weighted(split.where("split = 'train'")), split.where("split = 'test'")
-    performance = None
-    for name, estimator in (
-        ("Logistic Regression", models.logistic_regression(total_weight(train))),
-        ("Random Forest", models.random_forest()),
-        ("Gradient Boosting", models.gradient_boosting()),
-    ):
-        row = evaluate(models.score(estimator.fit(train), test), name)
-        performance = row if performance is None else performance.unionByName(row)
-    return performance
+    """All three models trained and measured by the training loop: for each the test rows and positives, which SQL
+    knows from the split's rule, and how far its accuracy is from a plain count over its stored scores."""
+    features = [F.col("embedding")[j].cast("double").alias(c) for j, c in enumerate(NAMES)]
+    label = (F.col("label") >= POSITIVE_FROM).cast("int").alias("label")
+    frame = table(spark, d, "embeddings").select("vec_id", label, *features)
+    split = materialize(stratified_split(frame, "label", "vec_id"))
+    train, test = split.where("split = 'train'"), split.where("split = 'test'")
+    trained = models.train_and_evaluate(train, test, NAMES, [], "label", "vec_id")
+    counted = models.all_scores(trained.scored).groupBy("model").agg(
+        F.count("*").alias("n_test"), F.sum("label").alias("n_positive"), F.avg((F.col("prediction") == F.col("label")).cast("int")).alias("right")
+    )
+    gap = F.abs(half_up(F.col("right") - F.col("accuracy"), 9)).alias("accuracy_gap")
+    ranked = F.col("roc_auc").between(0, 1).alias("auc_in_range")
+    return counted.join(trained.performance, "model").select("model", "n_test", "n_positive", gap, ranked)
+
+
+Q27 = f"""WITH c AS (SELECT label >= {POSITIVE_FROM} AS y, count(*) AS k, CAST(sum(count(*)) OVER () AS bigint) AS n FROM embeddings GROUP BY 1),
+f AS (SELECT *, n - CAST(ceil(n / 5.0) AS bigint) AS n_train FROM c),
+g AS (SELECT *, n_train * k // n AS low, n_train * k % n AS rest FROM f),
+z AS (SELECT y, k - low - CASE WHEN row_number() OVER (ORDER BY rest DESC, y) <= n_train - sum(low) OVER () THEN 1 ELSE 0 END AS n_test FROM g)
+SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient Boosting']) AS model, CAST(sum(n_test) AS bigint) AS n_test,
+  CAST(sum(n_test) FILTER (y) AS bigint) AS n_positive, CAST(0.0 AS double) AS accuracy_gap, true AS auc_in_range FROM z"""
+
+
+def q23b_fitted_linear_shap(spark: SparkSession, d: str) -> DataFrame:
+    """Linear attributions of a fitted model whose coefficient SQL finds too: with one yes-or-no feature and
+    next to no penalty it is the logarithm of the odds ratio."""
+    rows = vectors(spark, d).withColumn("features", array_to_vector(F.array((vector_to_array("features")[0] > 0).cast("double"))))
+    rows = weighted(rows)
+    model = models.logistic_regression(total_weight(rows), inverse_penalty=1e12).setTol(1e-13).fit(rows)
+    explained, _ = linear_contributions(rows, model, ["vec_id"], rows)
+    return explained.select("vec_id", half_up(F.col("phi")[0], 5).alias("phi"))
+
+
+Q23B = f"""WITH r AS (SELECT vec_id, CAST(embedding[1] > 0 AS integer) AS x, label >= {POSITIVE_FROM} AS y FROM embeddings),
+o AS (SELECT x, CAST(count(*) FILTER (y) AS double) / count(*) FILTER (NOT y) AS odds FROM r GROUP BY x),
+s AS (SELECT ln(max(odds) FILTER (x = 1) / max(odds) FILTER (x = 0)) AS slope FROM o),
+m AS (SELECT avg(x) AS mean FROM r)
+SELECT vec_id, {sql.rounded('slope * (x - mean)', 5)} AS phi FROM r, s, m"""
 
 
 def _scored_alike(rows: DataFrame, own: Column) -> DataFrame:
@@ -331,6 +357,7 @@ FROM l JOIN u ON l.vec_id = u.vec_id AND l.j = u.j JOIN top ON l.j = top.j"""
 
 QUERIES = {
     "q23_linear_shap": q23_linear_shap,
+    "q23b_fitted_linear_shap": q23b_fitted_linear_shap,
     "q24_topk": q24_topk,
     "q27_model_table": q27_model_table,
     "q30_logreg": q30_logreg,
@@ -349,7 +376,9 @@ QUERIES = {
 }
 ORACLES = {
     "q23_linear_shap": Q23,
+    "q23b_fitted_linear_shap": Q23B,
     "q24_topk": Q24,
+    "q27_model_table": Q27,
     "q30_logreg": SCORED_ALIKE,
     "q30b_logreg_balance": Q30B,
     "q30c_logreg_gradient": Q30C,

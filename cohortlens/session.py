@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,8 @@ SETTINGS = {
 
 
 # On a cluster shuffles start with this many partitions per core, and AQE merges the small ones.
+# Nothing here knows the input's size: a job that shuffles more than some hundred MB a partition sets
+# the option itself.
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 WAVES = 4
 
@@ -73,7 +77,29 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="cohortlens-")
         sc.setCheckpointDir(root)
-    return os.path.join(root, f"cohortlens-{uuid.uuid4().hex}")
+    path = os.path.join(root, f"cohortlens-{uuid.uuid4().hex}")
+    _made.append(path)
+    return path
+
+
+_made: list[str] = []  # folders handed out by shared_dir
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end of the block, the folders that ``shared_dir`` has given out inside it.
+
+    For whole runs whose results are written elsewhere: tables that were only handed on, such as those of
+    ``materialize``, cannot be read any more afterwards.
+    """
+    first = len(_made)
+    try:
+        yield
+    finally:
+        files = spark._jvm.org.apache.hadoop.fs
+        while len(_made) > first:
+            path = files.Path(_made.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

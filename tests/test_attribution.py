@@ -11,8 +11,10 @@ from cohortlens.operators import models
 from cohortlens.operators.attribution import (
     attribution_long, beeswarm, explain, importance, linear_contributions, sampled_contributions,
 )
+from cohortlens.operators import meeting
 from cohortlens.operators.stats import class_weights, with_weights
-from cohortlens.operators.tree_shap import contributions, node_table, tree_contributions
+from cohortlens.operators.tree_shap import contributions, node_table, tree_contributions, tree_scores
+from cohortlens.operators.walks import array_scorer
 
 WIDTH = 5
 
@@ -171,3 +173,59 @@ def test_large_batches_give_the_same_values_as_small_ones():
     x = rng.normal(size=(1500, 9))
     small = np.vstack([contributions(groups, x[i : i + 100]) for i in range(0, 1500, 100)])
     assert contributions(groups, x) == pytest.approx(small, abs=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["forest", "boosting", "tree"])
+def test_walks_down_the_trees_give_the_models_scores(rows, tree_models, kind):
+    model = tree_models[kind]
+    got = tree_scores(models.score(model, rows), model, ["id", "score"]).collect()
+    assert len(got) == 300
+    for r in got:
+        assert (1 / (1 + np.exp(-r["total"])) if kind == "boosting" else r["total"]) == pytest.approx(r["score"], abs=1e-12)
+
+
+def test_many_groups_of_parts_and_shards_of_rows_add_up(spark, rows, tree_models, monkeypatch):
+    """Every row meets every tree once, also if each is a group of its own, and no part passes the driver."""
+    model = tree_models["forest"]
+    wanted = {r["id"]: r["phi"] for r in tree_contributions(rows, model, ["id"])[0].collect()}
+    nodes = node_table(spark, model)
+    monkeypatch.setattr(meeting.meet, "__defaults__", (1, 7))
+    monkeypatch.setattr(type(rows), "toPandas", None)
+    explained, _ = tree_contributions(rows.withColumn("group", F.lit(None).cast("string")), nodes, ["id", "group"])
+    got = {r["id"]: r["phi"] for r in explained.collect()}
+    assert got.keys() == wanted.keys()
+    assert all(got[i] == pytest.approx(wanted[i], abs=1e-12) for i in wanted)
+
+
+def test_no_rows_and_no_parts(spark, rows, tree_models):
+    assert tree_contributions(rows.limit(0), tree_models["tree"], ["id"])[0].count() == 0
+    nothing = spark.createDataFrame([], "part long, packed binary")
+    found = meeting.meet(rows.selectExpr("id", "array(1D, 2D) AS x"), nothing, len, lambda n, x, _: np.full((len(x), 1), float(n)), "n")
+    assert {r["n"][0] for r in found.collect()} == {0.0}
+
+
+def test_perceptrons_are_scored_from_arrays(spark, rows):
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    model = MultilayerPerceptronClassifier(layers=[WIDTH, 4, 3, 2], maxIter=20, seed=1).fit(rows)
+    scored = models.score(model, rows).collect()
+    x = np.array([r["features"].toArray() for r in scored])
+    assert array_scorer(model)(x) == pytest.approx([r["score"] for r in scored], abs=1e-12)
+    explained, base = explain(rows, model, "id", background_rows=20)
+    scores = {r["id"]: r["score"] for r in scored}
+    for r in explained.collect():
+        assert base + sum(r["phi"]) == pytest.approx(scores[r["id"]], abs=1e-9)
+
+
+def test_walks_in_tasks_agree_with_walks_scored_by_spark(spark, rows):
+    """For a linear score the order of the features does not matter, so both ways give the same values."""
+    plain = lambda df: df.withColumn("score", F.aggregate(
+        F.transform(vector_to_array("features"), lambda v, j: v * (j - 2.0)), F.lit(0.0), lambda a, v: a + v))
+    slopes = np.arange(WIDTH) - 2.0
+    some = rows.where("id < 40")
+    one, base = sampled_contributions(some, None, "id", rows.where("id >= 270"), scorer=plain)
+    other, again = sampled_contributions(some, None, "id", rows.where("id >= 270"), arrays=lambda x: x @ slopes)
+    assert base == pytest.approx(again)
+    phi = {r["id"]: r["phi"] for r in one.collect()}
+    got = other.collect()
+    assert len(got) == 40 and all(r["phi"] == pytest.approx(phi[r["id"]], abs=1e-12) for r in got)

@@ -187,3 +187,36 @@ def test_a_label_of_thousands_of_values_splits_exactly(spark):
     weights = class_weights(df, "y")
     assert weights.count() == 5000
     assert with_weights(df, "y", weights).agg(F.round(F.sum("weight"), 6)).first()[0] == 12_000
+
+
+def test_label_codes_are_part_of_the_saved_model(spark, tmp_path):
+    """Fitted on one class, the saved model alone scores another; a missing value is a class of its own."""
+    train = spark.createDataFrame([("F", 1.0), ("F", 3.0)], "gender string, age double")
+    stages = fit_features(train, ["gender", "age"], []).stages
+    assert feature_names(stages) == ["gender", "age"]
+    PipelineModel(stages=stages).write().overwrite().save(str(tmp_path / "m"))
+    rows = spark.createDataFrame([("F", 2.0), ("M", 2.0), (None, 2.0)], "gender string, age double")
+    got = {r["gender"]: r["features"][0] for r in PipelineModel.load(str(tmp_path / "m")).transform(rows).collect()}
+    assert got == {"F": 0.0, "M": -1.0, None: -1.0}
+    train = spark.createDataFrame([("M", 1.0), ("F", 1.0), (None, 1.0), ("F", 1.0)], "gender string, age double")
+    coded = PipelineModel(stages=fit_features(train, ["gender"], []).stages[:1]).transform(train)
+    assert {r["gender"]: r["code_gender"] for r in coded.collect()} == {"F": 0, "M": 1, None: 2}
+
+
+def test_fills_and_scales_take_two_passes(spark):
+    from cohortlens.operators.stats import fills_and_scales
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    plain = spark.range(500).select(F.when(F.col("id") % 3 != 0, F.sqrt("id")).alias("a"), (F.col("id") % 2).alias("b"), F.lit(None).cast("int").alias("c"))
+    got = fills_and_scales(plain.mapInArrow(counted, plain.schema), ["a", "b", "c"])
+    assert seen.value <= 3 * 500  # brackets and moments, then counts, whose range bounds Spark may sample once
+    centres = {c: m for c, m in medians(plain, ["a", "b", "c"]).items() if m is not None}
+    scales = moments(plain, centres)
+    assert got.keys() == {"a", "b"}
+    assert all(got[c] == pytest.approx((centres[c], *scales[c])) for c in got)

@@ -88,3 +88,22 @@ def test_boosting_score_is_the_logistic_of_twice_the_margin(spark, wide):
     fitted = models.gradient_boosting(5).fit(rows)
     row = fitted.transform(rows).select("rawPrediction", vector_to_array("probability")[1].alias("p")).first()
     assert row["p"] == pytest.approx(1 / (1 + math.exp(-2 * row["rawPrediction"][1])))
+
+
+def test_best_split_equals_trying_all(spark):
+    from cohortlens.operators.splits import best_split
+
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 12, (80, 4)) / 4.0, rng.normal(size=80)
+    df = spark.createDataFrame([(row.tolist(), float(v)) for row, v in zip(x, y)], "x array<double>, y double")
+    error = lambda v: ((v - v.mean()) ** 2).sum()
+    tried = []
+    for j in range(4):
+        values = np.unique(x[:, j])
+        for t in (values[1:] + values[:-1]) / 2:
+            low = x[:, j] <= t
+            tried.append((error(y) - error(y[low]) - error(y[~low]), j, t, y[low].mean(), y[~low].mean()))
+    best, found = max(tried), best_split(df, "y").first()
+    assert (found["gain"], found["feature"], found["threshold"], found["left_value"], found["right_value"]) == pytest.approx(best)
+    assert best_split(df.where("false"), "y").count() == 0
+    assert best_split(spark.createDataFrame([([1.0], 2.0)] * 3, "x array<double>, y double"), "y").count() == 0

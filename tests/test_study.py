@@ -3,6 +3,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 from cohortlens.operators import models
 from cohortlens.plans import explaining, study, training
@@ -87,3 +88,22 @@ def test_csv_keeps_quotes_and_reads_empty_fields_as_missing(spark, tmp_path):
 
 def test_tables_load_by_name(spark):
     assert set(load_tables(spark, SF, ["region", "nation"])) == {"region", "nation"}
+
+
+def test_no_patient_on_both_sides_and_nothing_left_behind(spark, tmp_path):
+    """With a group the study's test rows share no patient with the others; its scratch tables are gone."""
+    import os
+
+    from cohortlens import session
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    before = set(os.listdir(root.removeprefix("file:")))
+    only = {"Logistic Regression": models.logistic_regression(1000.0)}
+    study.run(clinical_tables(spark, SF), str(tmp_path / "s"), only, explain_rows=20, group="subject_id")
+    assert set(os.listdir(root.removeprefix("file:"))) <= before
+    dataset = spark.read.parquet(str(tmp_path / "s" / "dataset"))
+    trained = training.train(dataset, estimators=only, group="subject_id")
+    tested = trained.scored["Logistic Regression"].select("icustay_id").distinct()
+    sides = dataset.join(tested.withColumn("tested", F.lit(1)), "icustay_id", "left").groupBy("subject_id").agg(F.countDistinct(F.coalesce("tested", F.lit(0))).alias("n"))
+    assert sides.where("n > 1").count() == 0 and tested.count() > 0
+    assert session._made  # of runs that were not cleaned up
