@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import half_up
 from ..specs import WINDOW_HOURS, Measure
+from .keyed import with_known_keys
 
 MICROS_PER_HOUR = 3_600_000_000
 
@@ -24,6 +25,7 @@ def windowed_averages(
     hours: int = WINDOW_HOURS,
     convert: Callable[[Column, Column], Column] | None = None,
     valid: Column | None = None,
+    stored_windows: bool = False,
 ) -> DataFrame:
     """One row per key with the rounded average of each measure in [start, start + hours].
 
@@ -33,7 +35,8 @@ def windowed_averages(
     Time is cut into slots as long as the window, so a window touches two slots and each event one.
     Joining on (key, slot) is exact, keeps the two bounds as a cheap residual test, drops events far
     from any window early, and spreads a key with very many events. The sums are combined per task
-    before they are shuffled by key.
+    before they are shuffled by key. With ``stored_windows``, which says that reading the windows again
+    is cheap, a Bloom filter of their keys keeps the events of other keys out of the shuffle.
     """
     wanted = sorted({c for m in measures for c in m.codes})
     raw = events.where(F.col(code).isin(wanted) & (F.col(value) > 0))
@@ -44,6 +47,8 @@ def windowed_averages(
         F.col(key), F.col(code).alias("_code"), F.col(at).alias("_at"),
         converted.alias("_value"), _slot(F.col(at), hours).alias("_slot"),
     )
+    if stored_windows:
+        readings = with_known_keys(readings, windows, key)
     # Copies of one window are carried as a weight instead of multiplying the events.
     spans = (
         windows.groupBy(key, F.col(start).alias("_start")).agg(F.count("*").alias("_copies"))

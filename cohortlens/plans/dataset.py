@@ -27,18 +27,18 @@ def celsius(item: Column, value: Column) -> Column:
     return F.when(item.isin(list(FAHRENHEIT_ITEMS)), fahrenheit_to_celsius(value)).otherwise(value)
 
 
-def vitals_first_day(chartevents: DataFrame, base: DataFrame) -> DataFrame:
+def vitals_first_day(chartevents: DataFrame, base: DataFrame, stored_base: bool = False) -> DataFrame:
     return windowed_averages(
-        chartevents, base, key="icustay_id", code="itemid", at="charttime", value="valuenum",
-        start="icu_intime", measures=VITALS, convert=celsius, valid=F.coalesce(F.col("error"), F.lit(0)) == 0,
+        chartevents, base, key="icustay_id", code="itemid", at="charttime", value="valuenum", start="icu_intime",
+        measures=VITALS, convert=celsius, valid=F.coalesce(F.col("error"), F.lit(0)) == 0, stored_windows=stored_base,
     )
 
 
-def labs_first_day(labevents: DataFrame, base: DataFrame) -> DataFrame:
+def labs_first_day(labevents: DataFrame, base: DataFrame, stored_base: bool = False) -> DataFrame:
     """Keyed by admission, but the day starts when intensive care does."""
     return windowed_averages(
         labevents, base, key="hadm_id", code="itemid", at="charttime", value="valuenum",
-        start="icu_intime", measures=LABS,
+        start="icu_intime", measures=LABS, stored_windows=stored_base,
     )
 
 
@@ -56,14 +56,14 @@ def build_dataset(tables: Mapping[str, DataFrame], cut_lineage: bool = True) ->
     base = icu_cohort(tables["patients"], tables["admissions"], tables["icustays"])
     if cut_lineage:
         base = materialize(base)
-    return assemble_parts(base, build_parts(tables, base))
+    return assemble_parts(base, build_parts(tables, base, cut_lineage))
 
 
-def build_parts(tables: Mapping[str, DataFrame], base: DataFrame) -> dict[str, DataFrame]:
+def build_parts(tables: Mapping[str, DataFrame], base: DataFrame, stored_base: bool = True) -> dict[str, DataFrame]:
     """The tables that are joined to the cohort ``base``."""
     return {
-        "first_day_vitals": vitals_first_day(tables["chartevents"], base),
-        "first_day_labs": labs_first_day(tables["labevents"], base),
+        "first_day_vitals": vitals_first_day(tables["chartevents"], base, stored_base),
+        "first_day_labs": labs_first_day(tables["labevents"], base, stored_base),
         "diagnosis_flags": diagnosis_flags(tables["diagnoses_icd"]),
     }
 

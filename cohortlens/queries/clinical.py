@@ -14,6 +14,7 @@ from ..operators.quality import class_distribution, flag_totals, missing_counts,
 from ..plans.dataset import build_dataset, diagnosis_flags, labs_first_day, vitals_first_day
 from ..operators.cohort import icu_cohort
 from ..operators.sampling import grouped_split, stratified_split
+from ..session import materialize
 from ..specs import (
     ADULT_YEARS, AGE_CAP, DATASET_COLUMNS, DIAGNOSES, FAHRENHEIT_ITEMS, LABS, MISSING_CHECKED, OUTCOME,
     STAY_COLUMNS, SUB_LABELS, TARGET, VITALS, WINDOW_HOURS,
@@ -122,12 +123,12 @@ def q41_icu_cohort(spark: SparkSession, d: str) -> DataFrame:
 
 def q42_first_day_vitals(spark: SparkSession, d: str) -> DataFrame:
     t = clinical_tables(spark, d)
-    return vitals_first_day(t["chartevents"], icu_cohort(t["patients"], t["admissions"], t["icustays"]))
+    return vitals_first_day(t["chartevents"], materialize(icu_cohort(t["patients"], t["admissions"], t["icustays"])), stored_base=True)
 
 
 def q43_first_day_labs(spark: SparkSession, d: str) -> DataFrame:
     t = clinical_tables(spark, d)
-    return labs_first_day(t["labevents"], icu_cohort(t["patients"], t["admissions"], t["icustays"]))
+    return labs_first_day(t["labevents"], materialize(icu_cohort(t["patients"], t["admissions"], t["icustays"])), stored_base=True)
 
 
 def q44_diagnosis_flags(spark: SparkSession, d: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortlens import session
 from cohortlens.operators.cohort import first_per_group
+from cohortlens.operators.keyed import with_known_keys
 from cohortlens.operators.metrics import roc_auc, roc_curve
 from cohortlens.operators.quality import class_distribution, value_shares
 from cohortlens.operators.windowed import windowed_averages
@@ -146,3 +147,37 @@ def test_first_rows_read_their_input_twice(spark):
     df = spark.read.parquet(f"{SF}/orders.parquet")
     plan = first_per_group(df, "o_custkey", "o_orderkey")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 2
+
+
+def shuffled_bytes(spark, df):
+    """What the stages of one run write for shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    before = {(s.stageId(), s.attemptId()) for s in _stages(store)}
+    df.write.format("noop").mode("overwrite").save()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(s.shuffleWriteBytes() for s in _stages(store) if (s.stageId(), s.attemptId()) not in before)
+
+
+def _stages(store):
+    listed = store.stageList(None, False, False, spark_doubles(), None)
+    return [listed.apply(k) for k in range(listed.size())]
+
+
+def spark_doubles():
+    from pyspark import SparkContext
+
+    context = SparkContext._active_spark_context
+    return context._gateway.new_array(context._jvm.double, 0)
+
+
+def test_events_of_other_keys_stay_out_of_the_shuffle(spark, shuffled):
+    events = hot_events(spark)
+    windows = session.materialize(spark.createDataFrame([(k, dt(2020, 1, 1)) for k in (11, 12, 999_999, None)], "k long, s timestamp_ntz"))
+    average = [Measure("p", ("p",), 0, 1000)]
+    plain = windowed_averages(events, windows, "k", "c", "t", "v", "s", average)
+    kept = windowed_averages(events, windows, "k", "c", "t", "v", "s", average, stored_windows=True)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, plain.collect()))
+    assert with_known_keys(events, windows, "k").count() < 100 < events.count()
+    few = with_known_keys(events, windows, "k", bits=1).count()  # useless, not wrong
+    assert few == events.count()
+    assert shuffled_bytes(spark, kept) < shuffled_bytes(spark, plain) / 5
