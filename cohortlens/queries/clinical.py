@@ -8,10 +8,15 @@ from __future__ import annotations
 
 import re
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import half_up
+from ..operators import models
 from ..operators.quality import class_distribution, flag_totals, missing_counts, null_report, rate_by
+from ..plans import training
 from ..plans.dataset import build_dataset, diagnosis_flags, labs_first_day, vitals_first_day
+from ..plans.explaining import explain_pipeline
 from ..operators.cohort import icu_cohort
 from ..operators.sampling import grouped_split, stratified_split
 from ..session import materialize
@@ -169,6 +174,24 @@ def q51_group_split(spark: SparkSession, d: str) -> DataFrame:
     return split.select("subject_id", "split").distinct()
 
 
+def q52_clinical_explained(spark: SparkSession, d: str) -> DataFrame:
+    """Training, selection and explanation end to end: per stay, how far base value and attributions are from the
+    log-odds that the chosen pipeline gives it. No patient is on both sides of the split."""
+    dataset = materialize(build_dataset(clinical_tables(spark, d)))
+    labels = dataset.where(F.col(TARGET).isNotNull())
+    # The identity holds after any number of iterations.
+    estimator = models.logistic_regression(float(labels.count())).setMaxIter(40)
+    trained = training.train(labels, estimators={"Logistic Regression": estimator}, group="subject_id")
+    best = trained.pipelines[trained.best]
+    explained = explain_pipeline(best, dataset)
+    margin = F.log(F.col("score") / (1 - F.col("score")))
+    # Stay ids repeat, so rows are met through their vector.
+    scored = models.score(best, training.prepare(dataset)[0]).select("icustay_id", vector_to_array("features").alias("x"), margin.alias("margin"))
+    added = F.aggregate("phi", F.lit(explained.base), lambda a, v: a + v)
+    rows = explained.rows.select("icustay_id", "x", added.alias("added")).join(scored.distinct(), ["icustay_id", "x"])
+    return rows.select("icustay_id", F.abs(half_up(F.col("added") - F.col("margin"), 6)).alias("gap"))
+
+
 def _test_sizes(rows: str) -> str:
     """CTEs that share ceil(n / 5) test rows out among the classes of ``rows`` (label), by largest remainder."""
     return f"""c AS (SELECT label, count(*) AS k, sum(count(*)) OVER () AS n FROM {rows} GROUP BY label),
@@ -180,6 +203,7 @@ z AS (SELECT label, k, k - low - CASE WHEN row_number() OVER (ORDER BY rest DESC
 Q50 = f"""{DATASET}, l AS (SELECT CAST({TARGET} AS integer) AS label FROM dataset), {_test_sizes('l')}
 SELECT label AS {TARGET}, 'test' AS split, CAST(n_test AS bigint) AS n FROM z WHERE n_test > 0
 UNION ALL SELECT label, 'train', CAST(k - n_test AS bigint) FROM z WHERE k > n_test"""
+Q52 = f"{DATASET} SELECT icustay_id, CAST(0.0 AS double) AS gap FROM dataset"
 Q51 = f"""{DATASET}, g AS (SELECT subject_id, max(CAST({TARGET} AS integer)) AS label FROM dataset GROUP BY subject_id), {_test_sizes('g')},
 r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {sql.number('subject_id')}, subject_id) AS place FROM g)
 SELECT subject_id, CASE WHEN place <= n_test THEN 'test' ELSE 'train' END AS split FROM r JOIN z USING (label)"""
@@ -187,6 +211,7 @@ SELECT subject_id, CASE WHEN place <= n_test THEN 'test' ELSE 'train' END AS spl
 QUERIES = {
     "q50_clinical_split": q50_clinical_split,
     "q51_group_split": q51_group_split,
+    "q52_clinical_explained": q52_clinical_explained,
     "q40_clinical_dataset": q40_clinical_dataset,
     "q41_icu_cohort": q41_icu_cohort,
     "q42_first_day_vitals": q42_first_day_vitals,
@@ -201,6 +226,7 @@ QUERIES = {
 ORACLES = {
     "q50_clinical_split": Q50,
     "q51_group_split": Q51,
+    "q52_clinical_explained": Q52,
     "q40_clinical_dataset": f"{DATASET} SELECT * FROM dataset",
     "q41_icu_cohort": f"WITH {SOURCES}, {COHORT} SELECT * FROM cohort",
     "q42_first_day_vitals": f"WITH {SOURCES}, {COHORT} {VITALS_SQL}",
