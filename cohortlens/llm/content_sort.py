@@ -41,7 +41,8 @@ def content_sort(docs: DataFrame) -> DataFrame:
     # A run can go on in other partitions only if it is the first or the last of its own.
     edge = runs.where("edge")
     seams = edge.groupBy("text_sha256").agg(F.max("keep_id").alias("last_id"), F.count("*").alias("whole_size"))
-    outer = edge.join(seams, "text_sha256").withColumn("group_size", F.col("whole_size")).drop("whole_size")
+    # Two rows a partition at most, so the rows of a long run stay where they are.
+    outer = edge.join(F.broadcast(materialize(seams)), "text_sha256").withColumn("group_size", F.col("whole_size")).drop("whole_size")
     return inner.unionByName(outer).select(
         "doc_id",
         F.col("last_id").alias("keep_id"),
