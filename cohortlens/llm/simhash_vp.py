@@ -18,8 +18,8 @@ from ..session import materialize
 from .common import documents, free_names, row_key, texts
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
-SAMPLE = 100_000  # fingerprints at most, about, from which the upper tree is grown
-SHARD = 16_384  # fingerprints wanted in a shard
+SAMPLE = 500_000  # fingerprints at most, about, from which the upper tree is grown
+SHARD = 4_096  # fingerprints wanted in a shard
 SHARD_SAMPLE = 32  # sampled fingerprints that a shard needs at least
 LEAF = 384
 
