@@ -16,6 +16,7 @@ import string
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,6 +25,7 @@ from .common import documents, free_names, texts
 
 KEY = b"change this key: whoever has it can undo the pseudonyms"
 ROUNDS = 8
+LISTED = 4096  # sizes up to which fixed points are looked for; above, a value stays with a chance of 1 in so many
 FIRST_DAY, DAYS = date(1900, 1, 1), 73_049  # to 2099-12-31
 
 
@@ -32,6 +34,7 @@ class Permutation:
 
     def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key, digest_size=32).digest()
+        self.tables: dict[tuple[int, bytes], list[int]] = {}
 
     def _once(self, value: int, half: int, tweak: bytes) -> int:
         mask, width = (1 << half) - 1, (half + 7) // 8
@@ -49,6 +52,22 @@ class Permutation:
             if value < size and valid(value):
                 return value
 
+    def moved(self, value: int, size: int, tweak: bytes) -> int:
+        """``walk`` without fixed points where the size is small: there these are listed and rotated among
+        themselves, and a lone one changes places with the next value, so that all stays a permutation."""
+        if size > LISTED or size < 2:
+            return self.walk(value, size, tweak)
+        if (size, tweak) not in self.tables:
+            table = [self.walk(v, size, tweak) for v in range(size)]
+            fixed = [v for v in range(size) if table[v] == v]
+            if len(fixed) == 1:
+                other = (fixed[0] + 1) % size
+                table[fixed[0]], table[other] = table[other], fixed[0]
+            for v, w in zip(fixed, fixed[1:] + fixed[:1]) if len(fixed) > 1 else ():
+                table[v] = w
+            self.tables[size, tweak] = table
+        return self.tables[size, tweak][value]
+
 
 def luhn(digits: str) -> bool:
     doubled = (int(c) * (1 + k % 2) for k, c in enumerate(reversed(digits)))
@@ -73,19 +92,28 @@ def _laid_out(layout: str, digits: str) -> str:
     return "".join(next(rest) if c.isdigit() else c for c in layout)
 
 
+@lru_cache(4096)
+def _alike(c: str) -> str | None:
+    """The characters that may stand for a letter or digit beyond ASCII: those of its kind and case within 64 code points."""
+    if c.isascii() or not c.isalnum():
+        return None
+    first = ord(c) & ~63
+    return "".join(x for x in map(chr, range(first, first + 64)) if (x.isalpha(), x.isdecimal(), x.islower(), x.isupper()) == (c.isalpha(), c.isdecimal(), c.islower(), c.isupper()))
+
+
 def characters(p: Permutation, found: str, tweak: bytes, hexadecimal: bool = False) -> str:
-    """Letters become letters of the same case, digits digits (or hexadecimal digits such), others stay."""
+    """Letters become letters of the same case and script, digits digits (or hexadecimal digits such), others stay."""
     alphabets = [string.digits + "abcdef", string.digits + "ABCDEF"] if hexadecimal else [string.digits, string.ascii_lowercase, string.ascii_uppercase]
     if hexadecimal and found.upper() == found:
         alphabets.reverse()
-    of = [next((a for a in alphabets if c in a), None) for c in found]
+    of = [next((a for a in alphabets if c in a), None) or _alike(c) for c in found]
     value, size = 0, 1
     for c, a in zip(found, of):
         if a:
             value, size = value * len(a) + a.index(c), size * len(a)
     if size == 1:
         return found
-    value = p.walk(value, size, tweak + bytes([len(found) % 256]))
+    value = p.moved(value, size, tweak + bytes([len(found) % 256]))
     out = []
     for c, a in zip(reversed(found), reversed(of)):
         if a:
@@ -177,7 +205,8 @@ def day(p, found):
         value = (when - FIRST_DAY).days
         if not valid(value):
             continue
-        new = FIRST_DAY + timedelta(p.walk(value, DAYS, b"day" + name.encode(), valid))
+        # One day in several layouts stays one day, as far as each layout can show every day.
+        new = FIRST_DAY + timedelta(p.walk(value, DAYS, b"day", valid))
         numbers = {order[0]: f"{new.year:04d}", order[1]: f"{new.month:02d}" if padded else str(new.month), order[2]: f"{new.day:02d}" if padded else str(new.day)}
         return sep.join(numbers[k] for k in range(3))
     return None
