@@ -53,12 +53,17 @@ def stratified_split(
     """
     number = seeded_hash(seed, row_id) if order is None else order
     stored = materialize(df.withColumns({"_number": number.cast("long"), "_tie": F.monotonically_increasing_id()}))
-    wanted = split_sizes(class_counts(df, label), fraction).where("n_test > 0").select("class", F.col("n_test").alias("left"))
+    wanted = split_sizes(class_counts(stored, label), fraction).where("n_test > 0").select("class", F.col("n_test").alias("left"))
     keyed = stored.select(F.col(label).alias("class"), "_number", F.col(row_id).alias("_id"), "_tie")
-    cuts = materialize(_cut_rows(keyed, wanted))
-    cuts = cuts.select(F.col("class").alias("_class"), F.struct("_number", "_id", "_tie").alias("_cut"))
+    numbers = materialize(_cut_numbers(keyed, "_number", wanted, NUMBER_SHIFTS))
+    if numbers.where("left < n").isEmpty():  # no class has to divide the rows of its last number
+        cuts = numbers.select(F.col("class").alias("_class"), F.struct(F.col("cut").alias("_number")).alias("_cut"))
+        at = F.struct("_number")
+    else:
+        cuts = materialize(_cut_rows(keyed, numbers))
+        cuts = cuts.select(F.col("class").alias("_class"), F.struct("_number", "_id", "_tie").alias("_cut"))
+        at = F.struct(F.col("_number"), F.col(row_id).alias("_id"), F.col("_tie"))
     joined = stored.join(cuts, F.col(label).eqNullSafe(F.col("_class")), "left")
-    at = F.struct(F.col("_number"), F.col(row_id).alias("_id"), F.col("_tie"))
     split = F.when(F.coalesce(at <= F.col("_cut"), F.lit(False)), "test").otherwise("train")
     return joined.select(*df.columns, split.alias("split"))
 
@@ -74,13 +79,13 @@ def grouped_split(
     return df.join(sides, group, "left").withColumn("split", F.coalesce("split", F.lit("train")))
 
 
-def _cut_rows(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The last wanted row of each class: class, _number, _id, _tie. ``wanted`` has class and left, the rows wanted.
+def _cut_rows(keyed: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The last wanted row of each class: class, _number, _id, _tie. ``numbers`` has its number (``cut``) and how
+    many rows of that number are wanted (``left``).
 
-    The number is found first. Rows of that very number are few unless they share an identifier; among
-    these the identifier is found by running totals, and the row by its place in the table.
+    Such rows are few unless they share an identifier. Among them the identifier is found by running totals,
+    and the row by its place in the table.
     """
-    numbers = materialize(_cut_numbers(keyed, "_number", wanted, NUMBER_SHIFTS))
     same = keyed.join(numbers.select(F.col("class").alias("_of"), F.col("cut"), "left"), F.col("class").eqNullSafe(F.col("_of")))
     same = materialize(same.where("_number = cut").select("class", "_number", "_id", "_tie", "left"))
     counted = same.groupBy("class", "_id").agg(F.count("*").alias("n"), F.first("left").alias("left"))
@@ -96,7 +101,7 @@ def _cut_rows(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _cut_numbers(keyed: DataFrame, number: str, wanted: DataFrame, shifts: Sequence[int]) -> DataFrame:
-    """(class, cut, left): the number of the last wanted row of each class, and how many rows of that number are wanted.
+    """(class, cut, left, n): the number of the last wanted row of each class, and how many of its n rows are wanted.
 
     Rows are counted in blocks of numbers; the block with the cut is counted in smaller ones, down to
     single numbers. A class has some thousand blocks at most.
@@ -106,12 +111,13 @@ def _cut_numbers(keyed: DataFrame, number: str, wanted: DataFrame, shifts: Seque
         block = F.shiftright(F.col(number), shift)
         here = F.lit(0).cast("long") if above == 63 else F.shiftright(F.col(number), above)
         inside = keyed.select("class", here.alias("_here"), block.alias("_block")).groupBy("class", "_here", "_block").agg(F.count("*").alias("_n"))
-        inside = inside.join(cut, F.col("class").eqNullSafe(F.col("_of")) & (F.col("_here") == F.col("_in")))
+        inside = inside.join(cut.select("_of", "_in", "left"), F.col("class").eqNullSafe(F.col("_of")) & (F.col("_here") == F.col("_in")))
         running = Window.partitionBy("class").orderBy("_block")
         inside = inside.withColumn("_cum", F.sum("_n").over(running)).where("left > _cum - _n AND left <= _cum")
-        cut = inside.select(F.col("class").alias("_of"), F.col("_block").alias("_in"), (F.col("left") - F.col("_cum") + F.col("_n")).alias("left"))
+        left = F.col("left") - F.col("_cum") + F.col("_n")
+        cut = inside.select(F.col("class").alias("_of"), F.col("_block").alias("_in"), left.alias("left"), F.col("_n").alias("_of_it"))
         above = shift
-    return cut.select(F.col("_of").alias("class"), F.col("_in").alias("cut"), "left")
+    return cut.select(F.col("_of").alias("class"), F.col("_in").alias("cut"), "left", F.col("_of_it").alias("n"))
 
 
 def fixed_sample(df: DataFrame, n: int, row_id: str, seed: int = SEED, order: Column | None = None) -> DataFrame:
@@ -127,10 +133,12 @@ def fixed_sample(df: DataFrame, n: int, row_id: str, seed: int = SEED, order: Co
     cut = _cut_numbers(keyed, "_number", wanted, NUMBER_SHIFTS).first()
     if cut is None:  # fewer rows than wanted, or none wanted
         return df if n > 0 else df.limit(0)
+    if cut["left"] == cut["n"]:
+        return df.where(number <= cut["cut"])
     last = materialize(df.where(number == cut["cut"]).withColumns({"_number": number, "_tie": F.monotonically_increasing_id()}))
     at = last.select(F.lit(0).alias("class"), "_number", F.col(row_id).alias("_id"), "_tie")
-    wanted = wanted.withColumn("left", F.lit(cut["left"]))
-    end = _cut_rows(at, wanted).select(F.struct("_id", "_tie").alias("_cut"))
+    numbers = wanted.select("class", F.lit(cut["cut"]).alias("cut"), F.lit(cut["left"]).alias("left"))
+    end = _cut_rows(at, numbers).select(F.struct("_id", "_tie").alias("_cut"))
     # One row.
     last = last.join(F.broadcast(end)).where(F.struct(F.col(row_id).alias("_id"), F.col("_tie")) <= F.col("_cut"))
     return df.where(number < cut["cut"]).unionByName(last.select(df.columns))

@@ -10,7 +10,7 @@ from ..functions import half_up
 from ..operators.encode import feature_names, fit_features, label_encode, ordinal_encode
 from ..operators.ranking import sorted_codes
 from ..operators.sampling import fixed_sample, stratified_split
-from ..operators.stats import class_weights, distributed_medians, medians, modes, moments, with_weights
+from ..operators.stats import class_weights, distributed_medians, fills_and_scales, medians, modes, with_weights
 from . import sql
 from .relational import LABELLED, labelled_documents
 from .tables import table
@@ -82,11 +82,9 @@ Q15B = " UNION ALL ".join(
 
 def q16_standard_scale(spark: SparkSession, d: str) -> DataFrame:
     rows = gappy_documents(spark, d)
-    centre = medians(rows, ["n_chars", "quality"])
-    scale = moments(rows, centre)
     scaled = [
-        half_up((F.coalesce(F.col(c).cast("double"), F.lit(m)) - scale[c][0]) / scale[c][1], 6).alias(c)
-        for c, m in centre.items()
+        half_up((F.coalesce(F.col(c).cast("double"), F.lit(fill)) - mean) / deviation, 6).alias(c)
+        for c, (fill, mean, deviation) in fills_and_scales(rows, ["n_chars", "quality"]).items()
     ]
     return rows.select("doc_id", *scaled)
 
