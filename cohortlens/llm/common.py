@@ -69,6 +69,17 @@ def per_worker(name: str, make: Callable):
     return getattr(held, name)
 
 
+def remembered(make: Callable, *key, size: int = 1 << 16):
+    """``make(*key)``, remembered in the worker; all is forgotten when there are ``size`` results. Unlike a cache
+    around the function this travels by value."""
+    held = per_worker(f"remembered {make.__module__}.{make.__name__}", dict)
+    if key not in held:
+        if len(held) >= size:
+            held.clear()
+        held[key] = make(*key)
+    return held[key]
+
+
 def task_id() -> int:
     from pyspark import TaskContext
 

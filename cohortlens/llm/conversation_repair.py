@@ -21,14 +21,13 @@ traces are made from these. Only the hash of a repaired text has to read its par
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialize
 from ..sources import read_table
-from .common import prepare, task_id
+from .common import prepare, remembered, task_id
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
 WHITE = " \t\n\x0b\x0c\r"
@@ -134,16 +133,18 @@ class Auction:
         return "".join(audit), node - self.end
 
 
-@lru_cache(1 << 16)
 def matrix(block) -> tuple:
     """The cost from each state before a block to each state behind it, 16 numbers."""
+    return remembered(_matrix, block)
+
+
+def _matrix(block) -> tuple:
     if not block:
         return tuple(0 if k % 5 == 0 else NO_WAY for k in range(16))
     ways = [Auction(block, range(4), [0 if s == end else NO_WAY for s in range(4)]).price[:4] for end in range(4)]
     return tuple(ways[end][start] for start in range(4) for end in range(4))
 
 
-@lru_cache(1 << 16)
 def _borders(block: tuple, origins: tuple, exits: tuple) -> list:
     """Prices of the states behind each step of a block, NO_WAY where no cheapest way passes."""
     auction = Auction(block, origins, exits)
@@ -151,7 +152,6 @@ def _borders(block: tuple, origins: tuple, exits: tuple) -> list:
     return [tuple(auction.price[4 * k + s] if 4 * k + s in open_ else NO_WAY for s in range(4)) for k in range(1, len(block) + 1)]
 
 
-@lru_cache(1 << 16)
 def _traced(block: str, origin: int, exits: tuple) -> tuple[str, int]:
     return Auction(block, [origin], exits).trace(origin)
 
@@ -173,7 +173,7 @@ def exits_of(matrices: list, origins: tuple, exits: tuple) -> list:
         return []
     if len(matrices) <= BLOCK:
         low = min(exits)
-        found = _borders(tuple(matrices), origins, tuple(e - low if e < NO_WAY else e for e in exits))
+        found = remembered(_borders, tuple(matrices), origins, tuple(e - low if e < NO_WAY else e for e in exits))
         return [tuple(p + low if p < NO_WAY else p for p in prices) for prices in found]
     blocks = level_up(matrices)
     found, before = [], None
@@ -201,17 +201,12 @@ class Codes:
             state, audit = origin, []
             for block, prices in zip(self.blocks, behind):
                 low = min(prices)
-                letters, state = _traced(block, state, tuple(p - low if p < NO_WAY else p for p in prices))
+                letters, state = remembered(_traced, block, state, tuple(p - low if p < NO_WAY else p for p in prices))
                 audit.append(letters)
             found[origin] = state, "".join(audit)
         return found
 
 
-@lru_cache(1 << 16)
-def _repair_short(codes: str) -> tuple[int, str]:
-    return _repair_any(codes)
-
-
 def _repair_any(codes: str) -> tuple[int, str]:
     rows = Codes(codes)
     cost = min(c + t for c, t in zip(rows.matrix(), TAIL))
@@ -221,7 +216,7 @@ def _repair_any(codes: str) -> tuple[int, str]:
 
 def repair(codes: str) -> tuple[int, str]:
     """The least cost for rows of these codes, and the least audit of that cost."""
-    return _repair_short(codes) if len(codes) <= 8 * BLOCK else _repair_any(codes)
+    return remembered(_repair_any, codes) if len(codes) <= 8 * BLOCK else _repair_any(codes)
 
 
 def lines(audit: str, rows, state: int = NOTHING):

@@ -16,7 +16,6 @@ import string
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -92,7 +91,6 @@ def _laid_out(layout: str, digits: str) -> str:
     return "".join(next(rest) if c.isdigit() else c for c in layout)
 
 
-@lru_cache(4096)
 def _alike(c: str) -> str | None:
     """The characters that may stand for a letter or digit beyond ASCII: those of its kind and case within 64 code points."""
     if c.isascii() or not c.isalnum():

@@ -96,8 +96,7 @@ def coded(codes):
 @pytest.mark.parametrize("block", [2, 3, 8])
 def test_repairs_are_cheapest_and_least(monkeypatch, block):
     monkeypatch.setattr(conversation_repair, "BLOCK", block)
-    for cached in (conversation_repair.matrix, conversation_repair._borders, conversation_repair._traced, conversation_repair._repair_short):
-        cached.cache_clear()
+    monkeypatch.setattr(conversation_repair, "remembered", lambda make, *key: make(*key))
     rng = random.Random(block)
     for n in [0, 1, 1, 1, 2, 2, 3, 3, 4, 5] * 12 + [rng.randrange(6, 60) for _ in range(150)]:
         codes = tuple((rng.choice("ssuuuuuaaaaa t"), rng.random() < 0.1, rng.random() < 0.15) for _ in range(n))

@@ -1,5 +1,9 @@
 """The stages against their operators by brute force, on the small tables and on odd rows."""
 
+import os
+import subprocess
+import sys
+
 import xxhash
 
 import __spark_entry__ as entry
@@ -75,3 +79,23 @@ def test_near_copies_of_documents(spark):
     docs = common.documents(spark, "/root/testdata/sf0.01").limit(500).cache()
     left = dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, SF)
     assert {r["doc_id"] for r in left.collect()} == near_groups([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+OUTSIDE = """
+import importlib.util
+spec = importlib.util.spec_from_file_location("entry", {path!r})
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("op11_conversation_repair", "op12_negative_mining", "op13_token_transducer", "pipeline"):
+    print(name, entry.queries()[name](spark, {sf!r}).count() > 0)
+"""
+
+
+def test_workers_need_no_package_on_their_path(tmp_path):
+    """A plain session, started elsewhere: the Python workers cannot import the package."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = OUTSIDE.format(path=os.path.abspath(entry.__file__), sf=SF)
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert run.stdout.count("True") == 4, run.stderr[-2000:]
