@@ -15,10 +15,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Bounds the Arrow batches by bytes, so that very long texts do not add up in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def prepare(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> SparkSession:
+    """Bounds the Arrow batches by rows and bytes, so that very long texts do not add up in a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     return spark
 
 
