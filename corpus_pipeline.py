@@ -12,12 +12,15 @@ from cohortlens.llm.stock_packing import pack
 from cohortlens.llm.toxic_grammar import reject_toxic
 from cohortlens.session import configure, materialize
 
+# Workers serve all stages and keep what each has made them grow to, so batches are smaller than for one operator.
+BATCH_ROWS, BATCH_BYTES = 700, 6 << 20
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar does not reject; it learns from the labels of this very input.
 
     All columns of ``docs`` come back; a null text is judged as an empty one; an empty table stays empty."""
-    prepare(spark)
+    prepare(spark, BATCH_ROWS, BATCH_BYTES)
     return reject_toxic(docs, labels(spark, sf_dir))
 
 
@@ -25,7 +28,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the largest doc_id, of those whose texts are equal but for the case of A-Z.
 
     A null text equals an empty one, a null doc_id is the smallest; of rows that repeat doc_id and text one stays."""
-    prepare(spark)
+    prepare(spark, BATCH_ROWS, BATCH_BYTES)
     return keep_last(docs)
 
 
@@ -34,7 +37,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     shingles are linked by steps of at most two bits.
 
     A null or wordless text has fingerprint 0 and is linked like any other; a null doc_id is the smallest."""
-    prepare(spark)
+    prepare(spark, BATCH_ROWS, BATCH_BYTES)
     return keep_one(docs)
 
 
@@ -42,13 +45,13 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """All documents, personal data in their texts replaced by pseudonyms of the same format.
 
     Null and empty texts stay as they are; n_chars follows the new text."""
-    prepare(spark)
+    prepare(spark, BATCH_ROWS, BATCH_BYTES)
     return replace_personal_data(docs, counted=None)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in training sequences; a null text is empty and packed as its end id."""
-    prepare(spark)
+    prepare(spark, BATCH_ROWS, BATCH_BYTES)
     return pack(docs)
 
 
