@@ -14,7 +14,6 @@ from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import seeded_hash
 from ..session import materialize, spread
 from ..specs import BACKGROUND_ROWS, SEED
 from .meeting import meet
