@@ -179,15 +179,18 @@ def _mix(size: int) -> Column:
 
 
 def explain(
-    df: DataFrame, model: Model, row_id: str, background_rows: int = BACKGROUND_ROWS, features: str = "features"
+    df: DataFrame, model: Model, row_id: str, background_rows: int = BACKGROUND_ROWS, features: str = "features",
+    background: DataFrame | None = None,
 ) -> tuple[DataFrame, float]:
     """(row_id, x, phi) for the positive class by the method that fits the model, and the base value.
 
-    Tree ensembles and linear models are exact, anything else is sampled.
+    Tree ensembles and linear models are exact, anything else is sampled. ``background`` holds the rows
+    to compare with, such as training rows; without it these are a sample of ``df``. Trees carry their own.
     """
     if isinstance(model, TREE_MODELS):
         return tree_contributions(df, model, [row_id], features)
-    background = materialize(fixed_sample(df, background_rows, row_id))
+    if background is None:
+        background = materialize(fixed_sample(df, background_rows, row_id))
     if isinstance(model, LogisticRegressionModel):
         return linear_contributions(df, model, [row_id], background, features)
     return sampled_contributions(df, model, row_id, background, features=features)

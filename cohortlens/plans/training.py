@@ -50,11 +50,16 @@ def train(
     )
 
 
+def store_metrics(performance: DataFrame, scored: Mapping[str, DataFrame], out: str) -> None:
+    """Metrics table, ROC points, confusion grids and class reports of scored models under ``out``."""
+    write_csv(performance.drop("place"), f"{out}/model_performance")
+    write_csv(roc_curve(all_scores(scored), by="model"), f"{out}/roc_all_models")
+    for name, rows in scored.items():
+        write_csv(confusion(rows), f"{out}/confusion_{slug(name)}")
+        write_csv(class_report(rows), f"{out}/class_report_{slug(name)}")
+
+
 def store(trained: TrainedModels, out: str) -> None:
-    """Metrics table, ROC points, confusion grids, class reports and the best pipeline under ``out``."""
-    write_csv(trained.performance.drop("place"), f"{out}/model_performance")
-    write_csv(roc_curve(all_scores(trained.scored), by="model"), f"{out}/roc_all_models")
-    for name, scored in trained.scored.items():
-        write_csv(confusion(scored), f"{out}/confusion_{slug(name)}")
-        write_csv(class_report(scored), f"{out}/class_report_{slug(name)}")
+    """The metrics of all models and the best pipeline under ``out``."""
+    store_metrics(trained.performance, trained.scored, out)
     trained.pipelines[trained.best].write().overwrite().save(f"{out}/best_model")

@@ -153,13 +153,13 @@ def q27b_best_model(spark: SparkSession, d: str) -> DataFrame:
     return best_model(rows[0].unionByName(rows[1])).drop("place")
 
 
-Q27B = " UNION ALL ".join(
+PERFORMANCE = " UNION ALL ".join(
     f"SELECT '{m}' AS model, {PRF}, {sql.rounded(f'(SELECT roc_auc FROM a WHERE model = {chr(39)}{m}{chr(39)})', 4)} AS roc_auc, {i} AS place"
     f" FROM ({cells(f'SELECT * FROM l WHERE model = {chr(39)}{m}{chr(39)}')})"
     for i, m in enumerate(("price", "quantity"))
 )
 Q27B = f"""WITH l AS ({LINES}), a AS ({auc_sql('SELECT * FROM l', 'model')})
-SELECT model, accuracy, precision, recall, f1_score, roc_auc FROM ({Q27B}) ORDER BY roc_auc DESC, place LIMIT 1"""
+SELECT model, accuracy, precision, recall, f1_score, roc_auc FROM ({PERFORMANCE}) ORDER BY roc_auc DESC, place LIMIT 1"""
 
 QUERIES = {
     "q19_confusion": q19_confusion,

@@ -62,12 +62,12 @@ def fit_boosting(spark: SparkSession, d: str):
 
 def q23_linear_shap(spark: SparkSession, d: str) -> DataFrame:
     """Linear attributions for fixed coefficients, in long form."""
-    return attribution_long(_linear(spark, d), NAMES, ["vec_id"]).select(
+    return attribution_long(linear_rows(spark, d), NAMES, ["vec_id"]).select(
         "vec_id", "feature", half_up(F.col("phi"), 7).alias("phi")
     )
 
 
-def _linear(spark: SparkSession, d: str) -> DataFrame:
+def linear_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = vectors(spark, d).select("vec_id", vector_to_array("features").alias("x"))
     background = fixed_sample(rows, BACKGROUND_ROWS, "vec_id", order=F.expr(sql.number("vec_id")))
     slopes = [(j % 7 - 3) * 0.25 for j in range(WIDTH)]
@@ -86,7 +86,7 @@ Q23 = f"{UNNESTED} SELECT vec_id, 'e' || j AS feature, {sql.rounded('phi', 7)} A
 
 
 def q24_topk(spark: SparkSession, d: str) -> DataFrame:
-    ranked = top_ranked(importance(_linear(spark, d), NAMES), "mean_abs_shap", "feature", TOP_FEATURES)
+    ranked = top_ranked(importance(linear_rows(spark, d), NAMES), "mean_abs_shap", "feature", TOP_FEATURES)
     return ranked.withColumn("mean_abs_shap", half_up(F.col("mean_abs_shap"), 7))
 
 
@@ -345,7 +345,7 @@ def q34b_sampled_shap_of_sums(spark: SparkSession, d: str) -> DataFrame:
 
 def q35_attribution_long(spark: SparkSession, d: str) -> DataFrame:
     """The table behind a summary plot: the most important features of the fixed linear attributions."""
-    long = beeswarm(materialize(_linear(spark, d)), NAMES, "vec_id", BEESWARM_FEATURES)
+    long = beeswarm(materialize(linear_rows(spark, d)), NAMES, "vec_id", BEESWARM_FEATURES)
     return long.select("vec_id", "feature", "value", *[half_up(F.col(c), 7).alias(c) for c in ("phi", "mean_abs_shap")])
 
 

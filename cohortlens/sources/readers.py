@@ -17,7 +17,7 @@ def load_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[st
     return {name: read_table(spark, root, name) for name in names}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with a header row and declared types (nothing is re-inferred); an empty field is NULL."""
     return spark.read.schema(schema).options(header=True, escape='"', mode="FAILFAST").csv(path)
 

@@ -11,8 +11,9 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Replace the CSV directory at ``path``; every part carries the header."""
-    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
+    """Replace the CSV directory at ``path``; every part carries the header, and text keeps its white space."""
+    options = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_ranked(importance: DataFrame, path: str, k: int) -> None:
