@@ -1,10 +1,12 @@
 """Rules, classifiers and pseudonyms."""
 
+import itertools
 import re
 import zlib
 from collections import Counter
 
 import pytest
+import zstandard
 
 from cohortlens.llm import compression_quality, feistel_pii, rule_cascade, toxic_grammar
 from cohortlens.llm.common import documents, labels
@@ -80,6 +82,66 @@ def test_grammar():
     assert weight("stupidity") > 0 == weight("idiotic")
 
 
+SPOKEN = {"insult": "idiot", "threat": "kill", "target": "you", "negation": "not", "report": "said", "other": "fine"}
+
+
+def plain_weight(clause, strength):
+    """The rules read one by one: matches that are denied or quoted weigh little; an insult weighs its strength, half
+    as much again if it is the first match and somebody was addressed before; addressing somebody after a match adds a
+    half; a threat weighs one if it is at somebody, a half beside another match."""
+    total, target, matched, waiting = 0.0, False, False, False
+    for k, kind in enumerate(clause):
+        if kind in ("insult", "threat") and ("negation" in clause[max(0, k - 3) : k] or "report" in clause[:k]):
+            total += 0.2 * (strength if kind == "insult" else 1)
+        elif kind == "insult":
+            total += strength * (1.5 if target and not matched else 1)
+            matched, waiting = True, False
+        elif kind == "threat":
+            if target:
+                total, matched = total + 1, True
+            elif matched:
+                total += 0.5
+            else:
+                waiting = True
+        elif kind == "target" and not target:
+            total += 1 if waiting else 0.5 if matched else 0
+            target, matched, waiting = True, matched or waiting, False
+    return total
+
+
+def test_every_short_clause_weighs_what_the_rules_say():
+    reader = toxic_grammar.Reader({"idiot$": 0.7})
+    for length in range(1, 6):
+        for clause in itertools.product(SPOKEN, repeat=length):
+            found = reader.clauses(" ".join(SPOKEN[kind] for kind in clause))
+            assert sum(found) == pytest.approx(plain_weight(clause, 0.7)), clause
+    for first, second in itertools.product(itertools.product(SPOKEN, repeat=2), repeat=2):
+        text = "; ".join(" ".join(SPOKEN[kind] for kind in clause) for clause in (first, second))
+        assert reader.clauses(text) == pytest.approx([w for w in (plain_weight(first, 0.7), plain_weight(second, 0.7)) if w])
+
+
+def test_size_differences_are_those_of_direct_compression():
+    good, bad = "The committee met on Monday and approved the annual report. " * 60, "CLICK HERE!!! free $$$ w1n n0w >>> " * 90
+    views = [lambda t: t, compression_quality.outline]
+    filled = [[view(text).encode() for view in views] for text in (good, bad)]
+    sizes = compression_quality.Sizes(*filled)
+
+    def size(data, content):
+        kind = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        one = zstandard.ZstdCompressor(level=compression_quality.LEVEL, dict_data=kind, write_content_size=False)
+        return len(one.compress(data))
+
+    texts = ["", "x", "The committee approved it on Monday.", "free $$$ CLICK", "é" * 3000, good[7:5007], bad[3:2500] + good[:2500]]
+    for text in texts:
+        found = sizes.features(text)
+        for k, view in enumerate(views):
+            data = view(text).encode()
+            pieces = [data[j : j + 2048] for j in range(0, len(data), 2048)] or [b""]
+            g, b = (sum(size(piece, contents[k]) for piece in pieces) for contents in filled)
+            assert found[2 * k] == pytest.approx((g - b) / (g + b)), text[:20]
+    assert sizes.features(texts[2])[0] < 0 < sizes.features(texts[3])[0]
+
+
 def test_pseudonyms():
     p = Permutation(b"key")
     text = "card 4041-8949 7460 8795, a.b42@mail8.example.com +1 (988) 555-2485 70.123.182.155 123-45-6789 2024-02-29 12/25/2020 GB82WEST12345698765432"
