@@ -11,7 +11,10 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Replace the CSV directory at ``path``; every part carries the header, and text keeps its white space."""
+    """Replace the CSV directory at ``path``; every part carries the header, and text keeps its white space.
+
+    Readers split files at line ends, so text that holds them belongs into a parquet table.
+    """
     options = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     df.write.mode("overwrite").options(**options).csv(path)
 

@@ -149,6 +149,15 @@ def test_explain_picks_the_method(spark, rows, tree_models):
         assert explained.columns == ["id", "x", "phi"] and len(explained.first()["phi"]) == WIDTH
 
 
+def test_explain_compares_with_the_rows_given(spark, rows):
+    lr = models.logistic_regression(300.0).fit(rows)
+    one = rows.orderBy("id").limit(1)
+    margin = models.score(lr, one).first()["rawPrediction"][1]
+    explained, base = explain(rows, lr, "id", background=one)
+    assert base == pytest.approx(margin)
+    assert np.allclose(explained.where(F.col("id") == one.first()["id"]).first()["phi"], 0.0)
+
+
 def test_summaries(spark):
     df = spark.createDataFrame(
         [(1, [1.0, 2.0, 3.0], [0.5, -4.0, 0.0]), (2, [4.0, 5.0, 6.0], [-1.5, 2.0, 0.0])],

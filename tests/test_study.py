@@ -86,6 +86,13 @@ def test_csv_keeps_quotes_and_reads_empty_fields_as_missing(spark, tmp_path):
     assert back == {1: 'a "b", c\\', 2: None, 3: None}
 
 
+def test_csv_keeps_white_space(spark, tmp_path):
+    rows = {1: "  led", 2: "trailed \t", 3: " ", 4: "in  side"}
+    df = spark.createDataFrame(list(rows.items()), "id int, s string")
+    write_csv(df, str(tmp_path / "w"))
+    assert {r["id"]: r["s"] for r in read_csv(spark, str(tmp_path / "w"), df.schema).collect()} == rows
+
+
 def test_tables_load_by_name(spark):
     assert set(load_tables(spark, SF, ["region", "nation"])) == {"region", "nation"}
 
