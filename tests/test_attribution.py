@@ -2,6 +2,7 @@ from itertools import combinations
 from math import factorial
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,7 +14,7 @@ from cohortlens.operators.attribution import (
 )
 from cohortlens.operators import meeting
 from cohortlens.operators.stats import class_weights, with_weights
-from cohortlens.operators.tree_shap import contributions, node_table, tree_contributions, tree_scores
+from cohortlens.operators.tree_shap import contributions, ensemble_values, node_table, shared_tree, tree_contributions, tree_scores
 from cohortlens.operators.walks import array_scorer
 
 WIDTH = 5
@@ -184,6 +185,43 @@ def test_large_batches_give_the_same_values_as_small_ones():
     assert contributions(groups, x) == pytest.approx(small, abs=1e-12)
 
 
+@pytest.mark.parametrize("count", [1, 40, 300, 20_000])
+def test_a_walk_gives_what_the_formula_gives_leaf_by_leaf(count):
+    """Over two features, so paths test them again and again; for few and many rows, and in any number of batches."""
+    rng = np.random.default_rng(8)
+    nodes, leaves, open_nodes = [], [], [(0, 0, 4096.0, {})]
+    while open_nodes:
+        node, depth, cover, path = open_nodes.pop()
+        if depth == 7 or depth > 2 and rng.random() < 0.2:
+            nodes.append((0, node, -1, -1, -1, None, cover, value := rng.normal()))
+            leaves.append((value, path))
+            continue
+        j, threshold, part = int(rng.integers(2)), rng.normal(), rng.uniform(0.1, 0.9)
+        nodes.append((0, node, 2 * node + 1, 2 * node + 2, j, threshold, cover, 0.0))
+        low, high, share = path.get(j, (-np.inf, np.inf, 1.0))
+        open_nodes.append((2 * node + 1, depth + 1, cover * part, path | {j: (low, min(high, threshold), share * part)}))
+        open_nodes.append((2 * node + 2, depth + 1, cover * (1 - part), path | {j: (max(low, threshold), high, share * (1 - part))}))
+    frame = pd.DataFrame(nodes, columns=["tree", "id", "left", "right", "feature", "threshold", "cover", "value"])
+    groups = []
+    for m in (1, 2):
+        some = [(v, p) for v, p in leaves if len(p) == m]
+        arrays = [np.array([[p[j][k] for j in sorted(p)] for _, p in some]).reshape(-1, m) for k in range(3)]
+        groups.append((np.array([v for v, _ in some]), np.array([sorted(p) for _, p in some], int).reshape(-1, m), *arrays))
+    x = rng.normal(size=(count, 3))
+    tree = shared_tree(frame)
+    assert ensemble_values([tree, tree], x) == pytest.approx(2 * contributions(groups, x), abs=1e-12)
+
+
+def test_trees_meet_many_rows_at_once_whatever_the_batches(spark, rows, conf):
+    """A batch of the session may be small; each call pays for the trees' nodes again."""
+    conf(spark__sql__execution__arrow__maxRecordsPerBatch="7")
+    parts = spark.createDataFrame([(0, bytearray(b"x"))], "part long, packed binary")
+    same = rows.select("id", F.lit(0).alias("n"), vector_to_array("features").alias("x"))
+    found = meeting.meet(same, parts, len, lambda n, x, _: np.full((len(x), 1), float(len(x))), "n_at_once", lines=10_000)
+    sizes = [r["n_at_once"][0] for r in found.collect()]
+    assert len(sizes) == 300 and min(sizes) > 7  # some 37 rows in each of 8 shards
+
+
 @pytest.mark.parametrize("kind", ["forest", "boosting", "tree"])
 def test_walks_down_the_trees_give_the_models_scores(rows, tree_models, kind):
     model = tree_models[kind]
