@@ -14,12 +14,11 @@ from ..operators.encode import feature_names, fit_features
 from ..operators.metrics import evaluate
 from ..operators.sampling import fixed_sample
 from ..plans import training
-from ..plans.dataset import build_dataset
 from ..session import scratch, shared_dir
 from ..sources import read_csv, write_ranked
 from ..specs import BACKGROUND_ROWS, DATASET_COLUMNS, ID_COLUMNS, SUB_LABELS, TARGET, TOP_FEATURES
 from . import sql
-from .clinical import DATASET, clinical_tables
+from .clinical import DATASET, clinical_dataset
 from .evaluation import LINES, PERFORMANCE, auc_sql, scored_lines
 from .features import Q29, gappy_documents
 from .modelling import NAMES, POSITIVE_FROM, Q24, linear_rows, total_weight, vectors, weighted
@@ -85,7 +84,7 @@ def q55_saved_features(spark: SparkSession, d: str) -> DataFrame:
 def q56_model_input(spark: SparkSession, d: str) -> DataFrame:
     """The part that each column of the wide table plays in the models, and in how many rows it is filled: the
     target apart from the features, these by type, everything else left out."""
-    frame, numeric, categorical = training.prepare(build_dataset(clinical_tables(spark, d)))
+    frame, numeric, categorical = training.prepare(clinical_dataset(spark, d))
     parts = {TARGET: "target"} | dict.fromkeys(numeric, "numeric") | dict.fromkeys(categorical, "categorical")
     filled = frame.agg(*[F.count(c).alias(c) for c in parts])
     rows = [F.struct(F.lit(c).alias("column"), F.lit(part).alias("part"), F.col(c).alias("filled")) for c, part in parts.items()]

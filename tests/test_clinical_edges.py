@@ -196,3 +196,28 @@ def test_dataset_keeps_cohort_rows_and_fills_labels(spark):
 def test_flags_stay_short(spark):
     flags = diagnosis_flags(table(spark, "diagnoses_icd", [(10, "428")]))
     assert {t for c, t in flags.dtypes if c != "hadm_id"} == {"smallint"}
+
+
+def test_the_dataset_joins_lines_and_dates_once(spark, monkeypatch, tmp_path):
+    """Stays, chart and lab events read the stored lines; diagnoses, which need no dates, do not."""
+    from cohortlens.queries import clinical
+    from cohortlens.queries.tables import SCHEMAS
+
+    days = "timestamp_ntz'2001-02-03 04:00:00' + make_dt_interval(CAST(id % 50 AS int))"
+    made = {
+        "customer": "id, 'c', 1, 0D, 'm'", "part": "id, 'p', 'b', 'PROMO', 3, 1D",
+        "orders": f"id, id % 7, 'P', id * 9000D, {days}, '1-URGENT'",
+        "lineitem": f"id % 30, id % 11, id % 5, CAST(id % 4 AS int), id * 1D, 1D, 0D, 0.05D, 'A', 'F', {days}",
+    }
+    for name, columns in made.items():
+        names = [c.split()[0] for c in SCHEMAS[name].split(", ")]
+        spark.range(40).selectExpr(f"INLINE(ARRAY(STRUCT({columns})))").toDF(*names).write.parquet(f"{tmp_path}/{name}.parquet")
+    stored = []
+    monkeypatch.setattr(clinical, "materialize", lambda df: stored.append(df) or df)
+    tables = clinical.clinical_tables(spark, str(tmp_path), stored_lines=True)
+    assert len(stored) == 1 and tuple(stored[0].columns) == clinical._DATED_COLUMNS
+    plain = clinical.clinical_tables(spark, str(tmp_path))
+    assert len(stored) == 1
+    for name, df in tables.items():
+        assert df.schema == plain[name].schema and df.exceptAll(plain[name]).isEmpty() and plain[name].exceptAll(df).isEmpty()
+    assert tables["labevents"].count() > 0
