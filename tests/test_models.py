@@ -107,3 +107,15 @@ def test_best_split_equals_trying_all(spark):
     assert (found["gain"], found["feature"], found["threshold"], found["left_value"], found["right_value"]) == pytest.approx(best)
     assert best_split(df.where("false"), "y").count() == 0
     assert best_split(spark.createDataFrame([([1.0], 2.0)] * 3, "x array<double>, y double"), "y").count() == 0
+
+
+def test_forest_rows_keep_their_nodes_and_the_trees_stay_the_same(spark):
+    from cohortlens.operators.tree_shap import node_table
+
+    u = [F.pmod(F.xxhash64("id", F.lit(j)), F.lit(1000)) / 1000.0 for j in range(4)]
+    label = ((u[0] > 0.5) & (u[1] > 0.3) | (u[2] > 0.9)).cast("int")
+    rows = spark.range(400).select(array_to_vector(F.array(*u)).alias("features"), label.alias("label"), F.lit(1.0).alias(models.WEIGHT))
+    forest = models.random_forest(6, 8)
+    assert forest.getCacheNodeIds()
+    kept, walked = (node_table(spark, m.fit(rows)) for m in (forest, models.random_forest(6, 8).setCacheNodeIds(False)))
+    assert kept.count() > 50 and kept.exceptAll(walked).isEmpty() and walked.exceptAll(kept).isEmpty()
