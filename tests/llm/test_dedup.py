@@ -173,3 +173,38 @@ def test_refinement_that_no_window_survives():
         row, start, end = bucket_refinement.refine(np.zeros(2, int), np.zeros(2, bool), np.full(2, 336), np.full(2, 336), bodies)
         assert len(row) == len(start) == len(end) == 0
     assert len(bucket_refinement._alone(np.zeros(0, np.uint64))[0]) == 0
+
+
+def test_windows_are_refined_only_around_shared_cores(monkeypatch):
+    rng = random.Random(10)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n)).encode()
+    compared = []
+    original = bucket_refinement._alone
+    monkeypatch.setattr(bucket_refinement, "_alone", lambda names: compared.append(len(names)) or original(names))
+    middle = text(120)
+    bodies = [text(336) + middle + text(280) for _ in range(50)]
+    row, _, _ = bucket_refinement.refine(np.zeros(50, int), np.zeros(50, bool), np.full(50, 336), np.full(50, 336), bodies)
+    assert len(row) == 0 and sum(compared) <= 50 * 30  # one identifier for each of 337 windows before
+
+
+def test_refinement_at_the_edges_of_bands():
+    """Pairs that share some bytes before the gram and after it, cut short or not, against plain comparison."""
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n)).encode()
+    bucket, settled, left, bodies = [], [], [], []
+    for k in range(400):
+        before, after = rng.randint(0, 336), rng.randint(64, 400)
+        shared = text(before), text(after)
+        for _ in range(rng.choice((2, 3))):
+            ahead, behind = before + rng.choice((0, rng.randint(0, 336))), after + rng.choice((0, rng.randint(0, 336)))
+            body = (text(336) + shared[0])[-min(336, ahead):] if ahead else b""
+            bodies.append(body + (shared[1] + text(336))[: min(400, behind)])
+            bucket.append(k), left.append(len(body)), settled.append(rng.random() < 0.2)
+    at = [n + 7 for n in left]
+    row, start, end = bucket_refinement.refine(*map(np.array, (bucket, settled, at, left)), bodies)
+    got = Counter((r, s) for r, first, last in zip(row.tolist(), start.tolist(), end.tolist()) for s in range(first, last - LENGTH + 1))
+    seen = Counter()
+    windows = [(r, s, (bucket[r], left[r] - s, b[s : s + LENGTH])) for r, b in enumerate(bodies) for s in range(max(0, len(b) - LENGTH + 1)) if s <= left[r] <= s + 336]
+    for _, _, window in windows:
+        seen[window] += 1
+    assert got == Counter((r, s + 7) for r, s, window in windows if seen[window] > 1 and not settled[r]) and got
