@@ -42,7 +42,7 @@ def content_sort(docs: DataFrame) -> DataFrame:
     edge = runs.where("edge")
     seams = edge.groupBy("text_sha256").agg(F.max("keep_id").alias("last_id"), F.count("*").alias("whole_size"))
     # Two rows a partition at most, so the rows of a long run stay where they are.
-    outer = edge.join(F.broadcast(materialize(seams)), "text_sha256").withColumn("group_size", F.col("whole_size")).drop("whole_size")
+    outer = edge.join(F.broadcast(seams), "text_sha256").withColumn("group_size", F.col("whole_size")).drop("whole_size")
     return inner.unionByName(outer).select(
         "doc_id",
         F.col("last_id").alias("keep_id"),

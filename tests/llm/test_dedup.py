@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from cohortlens.llm import bucket_refinement, simhash_vp
+from cohortlens.llm import bucket_refinement, content_sort as content_sort_module, simhash_vp
 from cohortlens.llm.bucket_refinement import LENGTH, remove_repeats
 from cohortlens.llm.content_sort import content_sort, keep_last
 from cohortlens.llm.simhash_vp import keep_one, near_duplicates
@@ -43,6 +43,14 @@ def test_runs_over_several_partitions(make, conf):
     assert sum(r["kept"] for r in got) == 2
 
 
+def test_runs_are_the_only_table_that_is_stored(make, monkeypatch):
+    """Each file of a table costs its executor some processes, and the few rows that join runs were a table too."""
+    stored, original = [], content_sort_module.materialize
+    monkeypatch.setattr(content_sort_module, "materialize", lambda df: stored.append(df.columns) or original(df))
+    assert content_sort(make([(k, "A" if k % 2 else "a") for k in range(500)])).where("kept").count() == 1
+    assert len(stored) == 1
+
+
 def test_keep_last(make, odd):
     left = keep_last(make(odd, clash=True))
     assert left.columns == make(odd, clash=True).columns
