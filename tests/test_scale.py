@@ -11,6 +11,7 @@ from cohortlens.operators.cohort import first_per_group
 from cohortlens.operators.keyed import with_known_keys
 from cohortlens.operators.metrics import roc_auc, roc_curve
 from cohortlens.operators.quality import class_distribution, value_shares
+from cohortlens.operators.sampling import grouped_split
 from cohortlens.operators.windowed import windowed_averages
 from cohortlens.plans.dataset import vitals_first_day
 from cohortlens.queries import QUERIES
@@ -181,3 +182,36 @@ def test_events_of_other_keys_stay_out_of_the_shuffle(spark, shuffled):
     few = with_known_keys(events, windows, "k", bits=1).count()  # useless, not wrong
     assert few == events.count()
     assert shuffled_bytes(spark, kept) < shuffled_bytes(spark, plain) / 5
+
+
+def test_the_explained_study_meets_no_rows_again(spark):
+    """Score and attributions of a stay come from one pass: neither the stays nor their vectors are shuffled to meet."""
+    assert "hashpartitioning" not in plan(QUERIES["q52_clinical_explained"](spark, SF))
+
+
+def test_rows_stay_where_they_are_for_a_small_test_side(spark):
+    """Rows of a missing group, or of a group that occurs twice, keep their number."""
+    rows = spark.range(400).select(F.col("id"), F.when(F.col("id") % 9 > 0, F.col("id") % 50).alias("g"), (F.col("id") % 2).alias("y"))
+    split = grouped_split(session.materialize(rows), "y", "g")
+    assert "hashpartitioning" not in plan(split)
+    assert split.count() == 400 and split.where("g IS NULL AND split = 'test'").isEmpty()
+    assert split.groupBy("g").agg(F.countDistinct("split").alias("n")).where("n > 1").isEmpty()
+    assert split.where("split = 'test'").select("g").distinct().count() == 10
+
+
+def test_every_known_key_is_kept_and_few_others(spark):
+    keyed = session.materialize(spark.range(0, 400_000, 13).select(F.col("id").alias("k")))
+    rows = spark.range(400_000).select(F.col("id").alias("k"))
+    kept = with_known_keys(rows, keyed, "k")
+    assert keyed.exceptAll(kept).isEmpty()
+    assert kept.count() < 1.01 * keyed.count()
+
+
+def test_settings_of_a_block_end_with_it(spark, conf):
+    conf(spark__sql__files__minPartitionNum="5")
+    names = ["spark.sql.files.minPartitionNum", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"]
+    before = [spark.conf.get(n) for n in names]
+    with pytest.raises(ZeroDivisionError), session.evenly(spark):
+        assert spark.conf.get(names[0]) == str(3 * spark.sparkContext.defaultParallelism)
+        1 / 0
+    assert [spark.conf.get(n) for n in names] == before
